@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from certrisk import constants as k
 from certrisk.functions.text import count_in_class
+from certrisk.operators.lookup import broadcast_if_small
+from certrisk.operators.sampling import sample_per_class
+from certrisk.session import staged
 
 
 def has_path_part(path: Column, part: str) -> Column:
@@ -90,14 +93,12 @@ def load_directory(
     With ``sample_size`` the sample is drawn on paths alone; content is read
     only for the files drawn.
     """
-    from certrisk.operators.sampling import sample_per_class
-
-    path = directory if recursive else f"{directory.rstrip('/')}/*"
-    files = scan(spark, path, recursive).select("path", "content")
+    files = scan(spark, directory, recursive).select("path", "content")
     if sample_size is not None:
         drawn = sample_per_class(
             files.select("path", F.lit("all").alias("label")), "label", "path", sample_size, seed)
-        files = files.join(drawn.select("path"), "path", "left_semi")
+        drawn = broadcast_if_small(staged(drawn.select("path"), "drawn-paths"))
+        files = files.join(drawn, "path", "left_semi")
     return with_content_columns(files, label, der_first)
 
 

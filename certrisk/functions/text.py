@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,28 +55,45 @@ def count_in_class(c: Column, char_class: str) -> Column:
     return F.length(c) - F.length(without(c, char_class))
 
 
-def character_counts(c: Column) -> dict[str, Column]:
-    """Digits, upper-case letters, special and non-ASCII characters of a text.
+def with_text_steps(df: DataFrame, text: str) -> DataFrame:
+    """Add the texts the counts below start from, each computed once per row.
 
-    The text shrinks from step to step, most frequent characters first: lower-case
-    letters and blanks count for nothing, so after one pass over the whole text
-    only a fraction is left. Unicode classes, which are slow, see only the
-    non-ASCII rest. Steps used twice are computed once (common subexpressions).
+    ``_text`` is NULL for an empty text, whose features stay unset. The others shrink
+    from step to step, most frequent characters first: lower-case letters and blanks
+    count for nothing, so after one pass over the whole text only a fraction is left.
+    Unicode classes, which are slow, see only the non-ASCII rest. Steps are columns of
+    their own because repeated subexpressions are not shared below a condition.
     """
-    rare = without(c, "a-z \n")
-    no_digits = without(rare, "0-9")
-    no_upper = without(no_digits, "A-Z")
-    marks = without(no_upper, r"\t\n\r\x0b\x0c\x1c-\x1f ")
-    foreign = without(marks, r"\x00-\x7F")
-    symbols = without(foreign, r"\p{L}")
+    steps = [
+        ("_text", F.nullif(F.col(text), F.lit(""))),
+        ("_rare", without(F.col("_text"), "a-z \n")),
+        ("_no_digits", without(F.col("_rare"), "0-9")),
+        ("_no_upper", without(F.col("_no_digits"), "A-Z")),
+        ("_marks", without(F.col("_no_upper"), r"\t\n\r\x0b\x0c\x1c-\x1f ")),
+        ("_foreign", without(F.col("_marks"), r"\x00-\x7F")),
+        ("_symbols", without(F.col("_foreign"), r"\p{L}")),
+    ]
+    for name, c in steps:
+        df = df.withColumn(name, c)
+    return df.withColumns({"_lower": F.lower("_text"), "_urls": url_count(F.col("_text"))})
+
+
+TEXT_STEPS = ("_text", "_rare", "_no_digits", "_no_upper", "_marks", "_foreign", "_symbols",
+              "_lower", "_urls")
+
+
+def character_counts() -> dict[str, Column]:
+    """Digits, upper-case letters, special and non-ASCII characters, from the steps above."""
+    n = {name: F.length(name) for name in TEXT_STEPS if name not in ("_lower", "_urls")}
+    foreign, symbols = F.col("_foreign"), F.col("_symbols")
     return {
-        "digit": F.length(rare) - F.length(no_digits)
+        "digit": n["_rare"] - n["_no_digits"]
         + count_in_class(symbols, r"\p{Nd}" + _extra("isdigit", "Nd")),
-        "upper": F.length(no_digits) - F.length(no_upper)
+        "upper": n["_no_digits"] - n["_no_upper"]
         + count_in_class(foreign, r"\p{Lu}") + count_in_class(symbols, _extra("isupper", "Lu")),
-        "special": F.length(marks) - F.length(foreign)
+        "special": n["_marks"] - n["_foreign"]
         + count_in_class(symbols, r"^\p{L}\p{N}\s\x85\p{Z}"),
-        "non_ascii": F.length(foreign),
+        "non_ascii": n["_foreign"],
     }
 
 

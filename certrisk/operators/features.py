@@ -39,38 +39,31 @@ def structural() -> dict[str, Column]:
     }
 
 
-def _some_text(text: Column) -> Column:
-    """NULL for an empty text, whose text features stay unset."""
-    return F.nullif(text, F.lit(""))
-
-
-def lexical(text: Column) -> dict[str, Column]:
-    t = _some_text(text)
-    counts = tx.character_counts(t)
-    digits, uppers = counts["digit"], counts["upper"]
-    specials, foreign = counts["special"], counts["non_ascii"]
+def lexical() -> dict[str, Column]:
+    """Needs the text steps; NULL for an empty text."""
+    t = F.col("_text")
+    counts = tx.character_counts()
     return {
         "text_length": F.length(t),
-        "digit_count": digits,
-        "digit_ratio": tx.ratio(digits, t),
-        "upper_count": uppers,
-        "upper_ratio": tx.ratio(uppers, t),
-        "special_char_count": specials,
-        "special_char_ratio": tx.ratio(specials, t),
+        "digit_count": counts["digit"],
+        "digit_ratio": tx.ratio(counts["digit"], t),
+        "upper_count": counts["upper"],
+        "upper_ratio": tx.ratio(counts["upper"], t),
+        "special_char_count": counts["special"],
+        "special_char_ratio": tx.ratio(counts["special"], t),
         "entropy": tx.entropy(t),
-        "non_ascii_count": foreign,
-        "non_ascii_ratio": tx.ratio(foreign, t),
+        "non_ascii_count": counts["non_ascii"],
+        "non_ascii_ratio": tx.ratio(counts["non_ascii"], t),
     }
 
 
-def statistical(text: Column, config: RiskConfig = DEFAULT) -> dict[str, Column]:
-    t = _some_text(text)
-    urls = tx.url_count(t)
+def statistical(config: RiskConfig = DEFAULT) -> dict[str, Column]:
+    """Needs the text steps; NULL for an empty text."""
     return {
-        "url_count": urls,
-        "has_url": (urls > 0).cast("int"),
-        "suspicious_keyword_count": tx.count_contained(F.lower(t), config.suspicious_words),
-        "ip_count": tx.ip_count(t),
+        "url_count": F.col("_urls"),
+        "has_url": (F.col("_urls") > 0).cast("int"),
+        "suspicious_keyword_count": tx.count_contained(F.col("_lower"), config.suspicious_words),
+        "ip_count": tx.ip_count(F.col("_text")),
     }
 
 
@@ -157,17 +150,17 @@ def add_features(
     from certrisk.operators.issuers import add_issuer_frequency
 
     columns = {
-        **structural(), **lexical(F.col("raw_text")), **identity(config),
-        **statistical(F.col("raw_text"), config), **temporal()}
-    helped = add_helpers(df, config)
-    out = helped.withColumn("_f", F.struct(*[c.alias(n) for n, c in columns.items()]))
-    out = out.drop("_cn", "_cn_lower", "_issuer_lower", "_similarity")
+        **structural(), **lexical(), **identity(config), **statistical(config), **temporal()}
+    # Flat until the end, so that columns nobody asks for are pruned below the join.
+    out = add_helpers(tx.with_text_steps(df, "raw_text"), config)
+    out = out.withColumns({f"_f_{n}": c for n, c in columns.items()})
+    out = out.drop("_cn", "_cn_lower", "_issuer_lower", "_similarity", *tx.TEXT_STEPS)
     if not keep_text:
         out = out.drop("raw_text", "pem")
     out = add_issuer_frequency(out, frequencies)
     return out.withColumn("features", F.struct(
-        *[F.col(f"_f.{n}").alias(n) for n in columns], F.col("issuer_frequency"))
-    ).drop("_f", "issuer_frequency")
+        *[F.col(f"_f_{n}").alias(n) for n in columns], F.col("issuer_frequency"))
+    ).drop(*[f"_f_{n}" for n in columns], "issuer_frequency")
 
 
 def extract_features(

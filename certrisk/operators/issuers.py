@@ -35,6 +35,7 @@ def add_issuer_frequency(
     if frequencies is None:
         return df.withColumn("issuer_frequency", F.lit(None).cast("double"))
     table = frequencies.select("issuer_key", "issuer_n", "issuer_frequency")
-    joined = lookup(with_issuer_key(df), table, "issuer_key", "issuer_n", broadcast_rows)
+    joined = lookup(with_issuer_key(df), table, "issuer_key", "issuer_n", "path",
+                    broadcast_rows)
     return joined.drop("issuer_key", "issuer_n").withColumn(
         "issuer_frequency", F.coalesce("issuer_frequency", F.lit(0.0)))

@@ -9,17 +9,14 @@ BROADCAST_ROWS = 100_000
 HOT_SHARE = 1e-4
 
 
-def _holds_map(data_type) -> bool:
-    return "map<" in data_type.simpleString()
-
-
 def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting. Meant for staged tables, where counting is cheap."""
     return F.broadcast(table) if table.count() <= rows else table
 
 
 def lookup(
-    df: DataFrame, table: DataFrame, key: str, weight: str, broadcast_rows: int = BROADCAST_ROWS,
+    df: DataFrame, table: DataFrame, key: str, weight: str, spread_by: str,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the columns of ``table`` to the rows of ``df`` with the same ``key``.
 
@@ -27,7 +24,8 @@ def lookup(
     each key. A small table is broadcast. Beyond that, only keys with at least
     one in 10,000 of all rows are (there can be no more than 10,000 of them), and
     the rest are joined by shuffle. Rows served by the broadcast go through that
-    shuffle under a key of their own, so they spread evenly and match nothing.
+    shuffle under a key made of ``spread_by``, a column with many values, so they
+    spread evenly and match nothing.
     """
     values = [c for c in table.columns if c != key]
     n, total = table.agg(F.count("*"), F.sum(weight)).first()
@@ -39,9 +37,7 @@ def lookup(
     cold = table.filter(~is_hot).select(
         F.col(key).alias("_cold_key"), F.struct(*values).alias("_cold"))
     rows = df.join(F.broadcast(hot), key, "left")
-    # Any well-spread value does; it is a function of the row, so a retried task repeats it.
-    plain = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
-    spread = F.concat(F.lit("\x00"), F.xxhash64(*plain).cast("string"))
+    spread = F.concat(F.lit("\x00"), F.xxhash64(spread_by).cast("string"))
     rows = rows.withColumn(
         "_join_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(spread))
     rows = rows.join(cold, F.col("_join_key") == F.col("_cold_key"), "left")

@@ -91,12 +91,15 @@ def parse(df: DataFrame, decode: bool = True) -> DataFrame:
             F.when(is_der, F.concat(F.lit("DER parsing error: "), problem)),
             F.when(F.col("_n_blocks") > 0, F.concat(F.lit("PEM parsing error: "), problem))]
 
+    def names(prefix: str, pattern: str) -> Column:
+        """Text values come last and so win over those of the certificate."""
+        from_text = dn_entries(found_line(t, pattern))
+        return F.concat(_name_entries(prefix), from_text) if decode else from_text
+
     df = df.withColumns({
         "pem": F.when(loaded, F.when(is_der, _as_pem(F.col("_der"))).otherwise(F.col("_block"))),
-        "subject": entries_to_map(F.concat(
-            _name_entries(""), dn_entries(found_line(t, k.SUBJECT_LINE)))),
-        "issuer": entries_to_map(F.concat(
-            _name_entries("issuer_"), dn_entries(found_line(t, k.ISSUER_LINE)))),
+        "subject": entries_to_map(names("", k.SUBJECT_LINE)),
+        "issuer": entries_to_map(names("issuer_", k.ISSUER_LINE)),
         "san": F.coalesce(F.col("_x.san"), F.array().cast("array<string>")),
         "not_before": not_before,
         "not_after": not_after,
@@ -111,12 +114,8 @@ def parse(df: DataFrame, decode: bool = True) -> DataFrame:
         "parse_warnings": F.array_compact(F.array(*warnings)),
         "raw_text": F.when(is_der, F.lit("")).otherwise(F.coalesce(text, F.lit(""))),
     })
-    df = df.withColumns({
-        "not_before_ts": dates.any_time(F.col("not_before")),
-        "not_after_ts": dates.any_time(F.col("not_after")),
-        "validity_days": _or_else(
-            F.col("_x.validity_days"),
-            dates.text_validity_days(F.col("not_before"), F.col("not_after"))),
+    df = dates.with_validity(df, "not_before", "not_after").withColumns({
+        "validity_days": _or_else(F.col("_x.validity_days"), F.col("text_days")),
         "pubkey_bits": _or_else(F.col("_x.pubkey_bits"), F.col("_bits")),
     })
     extra = [c for c in columns if c not in PARSED_COLUMNS and c not in ("text", "content")]

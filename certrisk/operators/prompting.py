@@ -242,7 +242,7 @@ def add_llm(
     table = staged(
         distinct.select("cache_key", "n_copies").join(parsed, "cache_key"), "verdicts")
     keyed = df.withColumn("cache_key", cache_key())
-    return lookup(keyed, table, "cache_key", "n_copies").drop("cache_key", "n_copies")
+    return lookup(keyed, table, "cache_key", "n_copies", "path").drop("cache_key", "n_copies")
 
 
 def cache_stats(spark: SparkSession, responses_path: str) -> dict[str, int]:

@@ -62,35 +62,36 @@ def default_rules(config: RiskConfig = DEFAULT) -> list[Rule]:
             for name, weight, form, description in k.RULE_TABLE]
 
 
-def rule_result(features: Column, rules: list[Rule]) -> Column:
-    """``score, triggered_rules, reasons, rule_count`` of one row.
+def add_rules(
+    df: DataFrame, rules: list[Rule] | None = None, config: RiskConfig = DEFAULT,
+) -> DataFrame:
+    """Add a ``rules`` struct (``score, triggered_rules, reasons, rule_count``) to rows with ``features``.
 
     The score is the mean weight of the rules that fired, times 1.2 up to 1 when
     three or more did. Weights are added in rule order.
     """
+    rules = default_rules(config) if rules is None else rules
+    features = F.col("features")
+    # Conditions first and on their own: with each read once, Catalyst sees through
+    # the features struct and drops the features no rule looks at.
+    flags = [f"_rule_{i}" for i in range(len(rules))]
+    df = df.withColumns({
+        flag: F.coalesce(rule.condition(features), F.lit(False)) for flag, rule in zip(flags, rules)})
     total, count = F.lit(0.0), F.lit(0)
     names, reasons = [], []
-    for rule in rules:
-        fired = F.coalesce(rule.condition(features), F.lit(False))
-        total = total + F.when(fired, rule.weight).otherwise(0.0)
-        count = count + fired.cast("int")
-        names.append(F.when(fired, rule.name))
-        reasons.append(F.when(fired, rule.reason(features)))
-    mean = total / F.nullif(count, F.lit(0))
-    score = F.when(count >= 3, F.least(F.lit(1.0), mean * 1.2)).otherwise(mean)
-    return F.struct(
+    for flag, rule in zip(flags, rules):
+        total = total + F.when(F.col(flag), rule.weight).otherwise(0.0)
+        count = count + F.col(flag).cast("int")
+        names.append(F.when(F.col(flag), rule.name))
+        reasons.append(F.when(F.col(flag), rule.reason(features)))
+    df = df.withColumns({"_total": total, "_count": count})
+    mean = F.col("_total") / F.nullif(F.col("_count"), F.lit(0))
+    score = F.when(F.col("_count") >= 3, F.least(F.lit(1.0), mean * 1.2)).otherwise(mean)
+    return df.withColumn("rules", F.struct(
         F.coalesce(score, F.lit(0.0)).alias("score"),
         F.array_compact(F.array(*names)).alias("triggered_rules"),
         F.array_compact(F.array(*reasons)).alias("reasons"),
-        count.alias("rule_count"))
-
-
-def add_rules(
-    df: DataFrame, rules: list[Rule] | None = None, config: RiskConfig = DEFAULT,
-) -> DataFrame:
-    """Add a ``rules`` struct to rows with ``features``."""
-    return df.withColumn(
-        "rules", rule_result(F.col("features"), rules if rules is not None else default_rules(config)))
+        F.col("_count").alias("rule_count"))).drop(*flags, "_total", "_count")
 
 
 def rule_catalogue(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from certrisk.config import RiskConfig
 from certrisk.functions import redact
 from certrisk.functions.names import sorted_entries
+from certrisk.functions.text import strip_accents, with_text_steps
 from certrisk.operators import features as ft
 from certrisk.operators import metrics as mt
 from certrisk.operators import prompting
@@ -284,24 +285,25 @@ def temporal(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lexical(spark: SparkSession, d: str) -> DataFrame:
-    columns = ft.lexical(F.col("text"))
-    return documents(spark, d).select("doc_id", *[
+    columns = ft.lexical()
+    return with_text_steps(documents(spark, d), "text").select("doc_id", *[
         (r6(c) if n.endswith("ratio") else c.cast("bigint")).alias(n)
         for n, c in columns.items() if n != "entropy"])
 
 
 @query
 def entropy(spark: SparkSession, d: str) -> DataFrame:
-    return documents(spark, d).select("doc_id", r6(ft.lexical(F.col("text"))["entropy"]).alias("entropy"))
+    rows = with_text_steps(documents(spark, d), "text")
+    return rows.select("doc_id", r6(ft.lexical()["entropy"]).alias("entropy"))
 
 
 @query
 def keywords_urls_ips(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select(F.lit("document").alias("origin"), F.col("doc_id").alias("id"), "text")
     urls = table(spark, d, "pages").select(F.lit("url"), "page_id", "url")
-    rows = docs.union(urls)
+    rows = with_text_steps(docs.union(urls), "text")
     return rows.select("origin", "id", *[
-        c.cast("bigint").alias(n) for n, c in ft.statistical(F.col("text")).items()])
+        c.cast("bigint").alias(n) for n, c in ft.statistical().items()])
 
 
 @query
@@ -561,8 +563,6 @@ def response_scoring(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_terms(spark: SparkSession, d: str) -> DataFrame:
-    from certrisk.functions.text import strip_accents
-
     return with_terms(documents(spark, d).select(
         "doc_id", strip_accents(F.lower("text")).alias("x_text")))
 

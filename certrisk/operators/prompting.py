@@ -108,14 +108,19 @@ def parse_responses(df: DataFrame, response: str = "raw_response") -> DataFrame:
     """
     t = F.col(response)
     kept = df.columns
+    # Parsed as the one element of a list: the parser itself overlooks what follows a value.
+    df = df.withColumns({
+        f"_{name}": F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))) for name, text in (
+            ("whole", t),
+            ("fenced", F.nullif(F.regexp_extract(t, FENCED, 1), F.lit(""))),
+            ("braced", F.nullif(F.regexp_extract(t, BRACED, 0), F.lit(""))))})
     df = df.withColumns({
-        "_whole": F.try_parse_json(t),
-        "_fenced": F.try_parse_json(F.nullif(F.regexp_extract(t, FENCED, 1), F.lit(""))),
-        "_braced": F.try_parse_json(F.nullif(F.regexp_extract(t, BRACED, 0), F.lit(""))),
         "_label": F.nullif(F.lower(F.regexp_extract(t, LABEL_FIELD, 1)), F.lit("")),
         "_number": F.nullif(F.regexp_extract(t, CONFIDENCE_FIELD, 1), F.lit("")),
         "_why": F.nullif(F.regexp_extract(t, REASONING_FIELD, 1), F.lit(""))})
-    df = df.withColumn("_json", F.coalesce("_whole", "_fenced", "_braced"))
+    df = df.withColumn("_json", F.coalesce(*[
+        F.when(F.try_variant_get(c, "$[1]", "variant").isNull(), F.try_variant_get(c, "$[0]", "variant"))
+        for c in ("_whole", "_fenced", "_braced")]))
     df = df.withColumn("_bad_number", F.col("_number").isNotNull()
                        & F.col("_number").try_cast("double").isNull())
     v = F.col("_json")

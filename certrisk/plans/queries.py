@@ -130,6 +130,9 @@ def supplier_files(spark: SparkSession, d: str) -> str:
     """Write the supplier captures as one file each below benign/ and phishing/."""
     root = new_path(spark, "captures")
     rows = supplier_dumps(spark, d)
+    # A task writes its files one after the other.
+    rows = rows.repartition(max(
+        spark.sparkContext.defaultParallelism, table(spark, d, "supplier").count() // 1000), "k")
     for label in ("benign", "phishing"):
         (rows.filter(F.col("label") == label).select("text")
          .write.option("maxRecordsPerFile", 1).text(f"{root}/{label}"))

@@ -121,6 +121,14 @@ def test_handshake_and_keys(spark):
     assert row.not_before == "Jan  1 00:00:00 2024 GMT" and row.not_after is None
 
 
+def test_first_match_not_first_word(spark):
+    text = ("the subject of İstanbul notes SUBJECT:CN = a\nissuer unknown, Issuer=CN = b\n"
+            "publicly seen, public KEY: (512 bit)\nno Protocol, Protocol : TLS\n")
+    row = parse(raw(spark, text)).first()
+    assert (row.subject, row.issuer) == ({"CN": "a"}, {"CN": "b"})
+    assert row.pubkey_bits == 512 and row.handshake.protocol == "TLS"
+
+
 def der(**over):
     args = dict(cn="a.example", org="Org", country="DE", issuer_cn="CA", start=date(2020, 1, 1),
                 end=date(2020, 3, 31), bits=2048, key_type="RSA",

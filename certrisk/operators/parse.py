@@ -95,7 +95,7 @@ def parse(df: DataFrame, decode: bool = True) -> DataFrame:
         F.when(is_der, (F.col("_x.signature_algorithm").isNotNull()).cast("int"))
         .otherwise(F.col("_n_blocks")),
         F.coalesce(F.regexp_count(t, F.lit(k.CHAIN_LINE)), F.lit(0)))
-    bits = F.regexp_extract(after("public"), k.KEY_BITS, 1).try_cast("int")
+    bits = found(after("public"), k.KEY_BITS).try_cast("int")
     warnings = [F.when(F.col("_wants_pem") & (F.col("_n_blocks") == 0), F.lit("No PEM blocks found"))]
     if decode:
         problem = F.coalesce(F.col("_x.error"),

@@ -58,7 +58,7 @@ def combined_reasons(rules: Column, ml: Column, llm: Column) -> Column:
     return F.slice(listed, 1, MAX_REASONS)
 
 
-def add_verdict(df: DataFrame, config: RiskConfig = DEFAULT) -> DataFrame:
+def add_verdict(df: DataFrame, config: RiskConfig = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested detections from ``rules`` and, where present, ``ml`` and ``llm`` structs.
 
     Missing ``ml`` / ``llm`` columns, and NULL values in them, mean "not scored".
@@ -94,7 +94,7 @@ def add_verdict(df: DataFrame, config: RiskConfig = DEFAULT) -> DataFrame:
         verdict_confidence(score, config).alias("confidence"),
         methods.alias("method_scores"),
         combined_reasons(rules, ml, llm).alias("combined_reasons"),
-        details.alias("certificate_details"))
+        details.alias("certificate_details"), *keep)
 
 
 def count_at_threshold(detections: DataFrame, threshold: float = 0.5) -> DataFrame:

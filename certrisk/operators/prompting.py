@@ -223,17 +223,18 @@ RESPONSES = "cache_key string, model string, raw_response string, error string"
 def add_llm(
     df: DataFrame, scorer: Callable[[str], str] | None, responses_path: str | None = None,
     model: str = "unknown", include_context: bool = True, config: RiskConfig = DEFAULT,
-    pause: float = 1.0, concurrency: int | None = None,
+    pause: float = 1.0, concurrency: int | None = None, source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ``llm`` verdict; without a scorer it is NULL.
 
-    Answers found under ``responses_path`` are used again, failures included, and
+    ``source`` holds the same certificates with the fields a prompt shows, so that ``df``
+    itself need not carry the capture text. Answers found under ``responses_path`` are used again, failures included, and
     new ones are added there.
     """
     if scorer is None:
         return df.withColumn("llm", F.lit(None).cast(LLM_TYPE))
     spark = df.sparkSession
-    distinct = staged(distinct_certificates(df, config), "distinct-certificates")
+    distinct = staged(distinct_certificates(df if source is None else source, config), "distinct-certificates")
     todo = distinct
     if responses_path and _exists(spark, responses_path):
         known = spark.read.schema(RESPONSES).parquet(responses_path)

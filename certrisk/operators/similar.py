@@ -49,23 +49,26 @@ def _unit(m: np.ndarray) -> np.ndarray:
 def _best_of_part(query_ids, query_vectors, query_id, corpus_id, vector, k):
     query_units = _unit(query_vectors)
 
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        # Similarity first, then the smaller id, as in the final ranking.
+        ordered = rows.sort_values(["q", "similarity", corpus_id], ascending=[True, False, True])
+        return ordered.groupby("q").head(k)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = np.empty((len(query_ids), 0), dtype=object)
-        sims = np.empty((len(query_ids), 0))
+        kept = None
         for batch in batches:
             if batch.empty:
                 continue
-            units = _unit(np.vstack(batch[vector].to_numpy()).astype(float))
-            new = query_units @ units.T
-            names = np.broadcast_to(batch[corpus_id].to_numpy(dtype=object), new.shape)
-            sims, ids = np.hstack([sims, new]), np.hstack([ids, names])
-            # Similarity first, then the smaller id, as in the final ranking.
-            order = np.array([np.lexsort((i.astype(batch[corpus_id].dtype), -s))[:k]
-                              for i, s in zip(ids, sims)])
-            sims = np.take_along_axis(sims, order, axis=1)
-            ids = np.take_along_axis(ids, order, axis=1)
-        for name, row_ids, row_sims in zip(query_ids, ids, sims):
-            if len(row_ids):
-                yield pd.DataFrame({query_id: name, corpus_id: row_ids, "similarity": row_sims})
+            sims = query_units @ _unit(np.vstack(batch[vector].to_numpy()).astype(float)).T
+            # Whatever ties with the k-th best of the batch stays in the running.
+            floor = np.partition(sims, -k, axis=1)[:, -k] if sims.shape[1] > k else np.full(len(sims), -2.0)
+            q, row = np.nonzero(sims >= floor[:, None])
+            found = pd.DataFrame({
+                "q": q, corpus_id: batch[corpus_id].to_numpy()[row], "similarity": sims[q, row]})
+            kept = best(found if kept is None else pd.concat([kept, found]))
+        if kept is not None:
+            yield pd.DataFrame({
+                query_id: [query_ids[i] for i in kept["q"]], corpus_id: kept[corpus_id].to_numpy(),
+                "similarity": kept["similarity"].to_numpy()})
 
     return run

@@ -50,7 +50,7 @@ def preprocess(
 
     Returns the number of certificates per class.
     """
-    raw, _ = quarantine(load_dataset(spark, input_dir, sample_size, seed=config.seed))
+    raw = load_dataset(spark, input_dir, sample_size, seed=config.seed)
     # The issuer table needs every row before the first feature row can be finished.
     parsed = staged(redact_certificates(parse(raw), config.redact_pii), "parsed")
     frequencies = fit_issuer_frequencies(parsed, f"{output_dir}/{ISSUERS}")
@@ -90,23 +90,25 @@ def detect(
     raw: DataFrame, model: CertificateModel | None = None,
     scorer: Callable[[str], str] | None = None, frequencies: DataFrame | None = None,
     rules: list[Rule] | None = None, responses_path: str | None = None,
-    config: RiskConfig = DEFAULT,
+    config: RiskConfig = DEFAULT, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw captures to detections. Classifier and language model are used when given."""
+    """Raw captures to detections. Classifier and language model are used when given.
+
+    ``keep`` names further columns of ``raw`` to carry along.
+    """
     if frequencies is None and model is not None:
         frequencies = model.frequencies
     parsed = redact_certificates(parse(raw), config.redact_pii)
     if scorer is not None:
         # Asked once per distinct certificate, which needs a pass of its own.
         parsed = staged(parsed, "parsed")
-    rows = add_features(
-        parsed, frequencies, config, keep_text=model is not None or scorer is not None)
+    rows = add_features(parsed, frequencies, config, keep_text=model is not None)
     rows = add_rules(rows, rules, config)
     if model is not None:
-        rows = model.predict(rows)
+        rows = model.predict(rows).drop("raw_text", "pem")
     if scorer is not None:
-        rows = add_llm(rows, scorer, responses_path, config=config)
-    return add_verdict(rows, config)
+        rows = add_llm(rows, scorer, responses_path, config=config, source=parsed)
+    return add_verdict(rows, config, keep)
 
 
 def infer(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -118,19 +120,21 @@ def batch_infer(
     spark: SparkSession, input_dir: str, output_dir: str, threshold: float = 0.5,
     only_hits: bool = False, **options,
 ) -> DataFrame:
-    """Score a directory into JSON lines, unreadable files aside; returns the two counts.
+    """Score a directory into JSON lines and return the two counts.
 
-    ``only_hits`` writes the detections at or above the threshold alone.
+    Captures that could not be read go to ``status=error`` beside ``status=ok``, in the
+    same pass. ``only_hits`` writes the detections at or above the threshold alone.
     """
-    good, bad = quarantine(load_directory(spark, input_dir))
-    found = detect(good, **options)
+    found = detect(load_directory(spark, input_dir), keep=("file_type",), **options)
+    found = found.withColumn(
+        "status", F.when(F.col("file_type") == "error", "error").otherwise("ok")).drop("file_type")
+    out = f"{output_dir}/detections"
     if only_hits:
-        staged_all = staged(found, "detections")
-        write_jsonl(staged_all.filter(F.col("final_score") >= threshold), f"{output_dir}/detections")
-        counts = count_at_threshold(staged_all, threshold)
+        found = staged(found, "detections")
+        written = found.filter((F.col("final_score") >= threshold) | (F.col("status") == "error"))
     else:
-        write_jsonl(found, f"{output_dir}/detections")
-        counts = count_at_threshold(
-            spark.read.schema("final_score double").json(f"{output_dir}/detections"), threshold)
-    write_jsonl(bad.select("path", "file_name", "label"), f"{output_dir}/errors")
-    return counts
+        written = found
+    write_jsonl(written, out, partition_by="status")
+    if not only_hits:
+        found = spark.read.schema("final_score double, status string").json(out)
+    return count_at_threshold(found.filter("status = 'ok'"), threshold)

@@ -14,8 +14,11 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_jsonl(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None,
+) -> None:
+    writer = df.write.mode(mode).option("ignoreNullFields", False)
+    (writer.partitionBy(partition_by) if partition_by else writer).json(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -23,7 +23,8 @@ TYPES = [
     (b"0" * 200, "openssl_text"),
     (b"\xff", "unknown"),
     (DER, "der"),
-    (bytes([0x30, 0x80]) + b"\xff\xd0" * 80, "der"),
+    (bytes([0x30, 0x80]) + b"\xff\xd0" * 80, "openssl_text"),
+    (bytes([0x30, 0x80]) + "é".encode() * 80, "der"),
     (bytes([0x30, 0x20]) + bytes(range(32, 64)), "openssl_text"),
     (b"x" * 8192 + b"subject=".replace(b"s", "é".encode()), "openssl_text"),
 ]

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes worked on at a time. A single longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: An odd multiplier of polynomial hashes and its inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

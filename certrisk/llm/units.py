@@ -16,6 +16,7 @@ import numpy as np
 from certrisk.llm.common import prefix_hashes, span_hashes
 
 OTHER, LETTER, SIGN, SPACE, FEED, WHITE = range(6)
+ENCODE_ROWS = 5_000
 _CLASS = np.full(256, OTHER, np.uint8)
 _CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
 _CLASS[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = SIGN
@@ -64,7 +65,7 @@ def cut(data: np.ndarray, starts: np.ndarray, special: bytes = b"<|") -> tuple[n
 class UnitTable:
     """Ids of the units seen so far, by hash; bounded, and emptied when full."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 2_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self._clear()
 
@@ -75,9 +76,12 @@ class UnitTable:
         self.ids = np.zeros(0, np.uint32)
 
     def _add(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = self.encode(texts)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        sizes, flat = [], []
+        for k in range(0, len(texts), ENCODE_ROWS):  # a tokenizer's results are large objects
+            found = self.encode(texts[k:k + ENCODE_ROWS])
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flat.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
+        sizes, flat = np.concatenate(sizes), np.concatenate(flat)
         starts = len(self.ids) + np.cumsum(sizes) - sizes
         order = np.argsort(keys)
         place = np.searchsorted(self.keys, keys[order])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certrisk.llm.packing import pack
+from certrisk.llm.quality_rules import judged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +20,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                           "base_failed", "kept")
+
+
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}

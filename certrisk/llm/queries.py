@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
+from certrisk.llm.pii import with_spans
+from certrisk.llm.tagger import KINDS
 from certrisk.llm.quality_rules import judged
 
 
@@ -26,9 +29,58 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "base_failed", "kept")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_units(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(
+        F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed_spans"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_spans(table(spark, sf_dir, "documents")).select("doc_id", "pii")
+    base = F.filter("pii", lambda s: s["source"] == "pattern")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[counted(k) for k in KINDS], F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("pii")).alias("spans"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_pii": op6_pii,
 }
 
-ORACLES: dict[str, str] = {}
+#: The same results in DuckDB.
+ORACLES = {
+    "op5_line_dedup": r"""
+WITH pieces AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), units AS (
+  SELECT doc_id, i, lines[i] AS line,
+         coalesce(list_sum([len(x) + 1 for x in lines[1:i-1]]), 0)::BIGINT AS start, len(text) AS size
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM pieces)
+), plain AS (
+  SELECT *, least(size, start + len(line) + 1)::BIGINT AS stop,
+         trim(regexp_replace(lower(line), '[^\pL\pN]+', ' ', 'g')) AS body FROM units
+), judged AS (
+  SELECT *, body <> '' AND len(string_split(body, ' ')) >= 10 AND
+         row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS gone FROM plain
+), kept AS (
+  SELECT doc_id,
+         coalesce(string_agg(line || CASE WHEN start + len(line) < size THEN chr(10) ELSE '' END, '' ORDER BY i)
+           FILTER (NOT gone), '') AS text,
+         count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(start || ':' || stop, ',' ORDER BY i) FILTER (gone), '') AS removed_spans
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+       coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_spans, '') AS removed_spans
+FROM documents d LEFT JOIN kept k USING (doc_id)
+""",
+}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
 from certrisk.llm.pii import with_spans
+from certrisk.llm.set_join import jaccard_components
 from certrisk.llm.tagger import KINDS
 from certrisk.llm.quality_rules import judged
 
@@ -49,11 +50,16 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("pii")).alias("spans"))
 
 
+def op9_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
+    "op9_set_join": op9_set_join,
 }
 
 #: The same results in DuckDB.

@@ -61,8 +61,8 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def _lstm(p: dict, side: str, x: np.ndarray) -> tuple[np.ndarray, list]:
-    """States of all steps; ``x`` is steps, rows, embedding."""
+def _lstm(p: dict, side: str, x: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+    """States of all steps, and what the gradient needs of them; ``x`` is steps, rows, embedding."""
     w, u, b = p["w" + side], p["u" + side], p["b" + side]
     size = u.shape[0]
     h = np.zeros((x.shape[1], size), np.float32)
@@ -77,7 +77,8 @@ def _lstm(p: dict, side: str, x: np.ndarray) -> tuple[np.ndarray, list]:
         t = np.tanh(c)
         h = o * t
         states.append(h)
-        kept.append((i, f, o, g, before, h_before, t))
+        if keep:
+            kept.append((i, f, o, g, before, h_before, t))
     return np.stack(states), kept
 
 
@@ -104,10 +105,10 @@ def _lstm_back(p: dict, side: str, x: np.ndarray, kept: list, dh_all: np.ndarray
 class Tagger:
     p: dict[str, np.ndarray]
 
-    def _scores(self, rows: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def _scores(self, rows: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
         x = self.p["embed"][rows.T]
-        left, kept_left = _lstm(self.p, "1", x)
-        right, kept_right = _lstm(self.p, "2", x[::-1])
+        left, kept_left = _lstm(self.p, "1", x, keep)
+        right, kept_right = _lstm(self.p, "2", x[::-1], keep)
         both = np.concatenate([left, right[::-1]], 2)
         return both @ self.p["out"] + self.p["bias"], (x, both, kept_left, kept_right)
 
@@ -127,7 +128,7 @@ class Tagger:
 
     def loss(self, rows: np.ndarray, tags: np.ndarray, grad: dict) -> float:
         """Mean negative log likelihood, with its gradient added to ``grad``."""
-        scores, (x, both, kept_left, kept_right) = self._scores(rows)
+        scores, (x, both, kept_left, kept_right) = self._scores(rows, True)
         move, begin = self.p["move"], self.p["begin"]
         steps, n, _ = scores.shape
         ahead = [scores[0] + begin]

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from certrisk.llm.bpe import encode_decode
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
 from certrisk.llm.pii import with_spans
@@ -50,6 +51,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("pii")).alias("spans"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -59,6 +66,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
+    "op7_bpe": op7_bpe,
     "op9_set_join": op9_set_join,
 }
 

@@ -48,7 +48,12 @@ def cut(data: np.ndarray, starts: np.ndarray, special: bytes = b"<|") -> tuple[n
         left, right = kind[:-1], kind[1:]
         cuts[1:n] = (left == LETTER) & (right == SIGN) | (left == SIGN) & (right == LETTER)
         solid = kind < SPACE
-        lone = np.flatnonzero(solid[:-2] & solid[2:] & (kind[1:-1] >= SPACE)) + 1
+        between = solid[:-2] & solid[2:] & (kind[1:-1] >= SPACE)
+        # Neighbours are of the same row; else cuts would depend on the rows nearby.
+        inner = starts[(starts > 0) & (starts < n)]
+        between[inner[inner < n - 1] - 1] = False
+        between[inner[inner > 1] - 2] = False
+        lone = np.flatnonzero(between) + 1
         cuts[lone[kind[lone] == SPACE]] = True
         feed = lone[kind[lone] == FEED]
         cuts[feed] = True
@@ -65,7 +70,7 @@ def cut(data: np.ndarray, starts: np.ndarray, special: bytes = b"<|") -> tuple[n
 class UnitTable:
     """Ids of the units seen so far, by hash; bounded, and emptied when full."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
         self.encode, self.most = encode, most
         self._clear()
 
@@ -75,10 +80,11 @@ class UnitTable:
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _add(self, keys: np.ndarray, texts: list[str]) -> None:
+    def _add(self, keys: np.ndarray, raw: bytes, at: np.ndarray, ends: np.ndarray) -> None:
         sizes, flat = [], []
-        for k in range(0, len(texts), ENCODE_ROWS):  # a tokenizer's results are large objects
-            found = self.encode(texts[k:k + ENCODE_ROWS])
+        for k in range(0, len(at), ENCODE_ROWS):  # a tokenizer's results are large objects
+            found = self.encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(
+                at[k:k + ENCODE_ROWS].tolist(), ends[k:k + ENCODE_ROWS].tolist())])
             sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
             flat.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
         sizes, flat = np.concatenate(sizes), np.concatenate(flat)
@@ -103,9 +109,8 @@ class UnitTable:
         inside = place < len(self.keys)
         known[inside] = self.keys[place[inside]] == distinct[inside]
         if not known.all():
-            raw, new = data.tobytes(), first[~known]
-            self._add(distinct[~known], [
-                raw[a:b].decode("utf-8", "replace") for a, b in zip(at[new], ends[new])])
+            new = first[~known]
+            self._add(distinct[~known], data.tobytes(), at[new], ends[new])
             place = np.searchsorted(self.keys, distinct)
         sizes = self.sizes[place][back]
         before = np.cumsum(sizes) - sizes
@@ -115,17 +120,24 @@ class UnitTable:
         return self.ids[source], np.concatenate([[0], np.cumsum(per_row)])
 
 
-_tables: dict[tuple, UnitTable] = {}
+_encoders: dict[str, Callable[[list[str]], list[list[int]]]] = {}
+_tables: dict[str, UnitTable] = {}
 
 
-def tokenizer_table(path: str) -> UnitTable:
-    """The table of a tokenizer file, kept by the Python worker for its next tasks."""
-    if path not in _tables:
+def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Texts to ids by a tokenizer file, kept by the Python worker for its next tasks."""
+    if path not in _encoders:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        _tables[path] = UnitTable(lambda texts: [
-            e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        _encoders[path] = lambda texts: [
+            e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return _encoders[path]
+
+
+def tokenizer_table(path: str) -> UnitTable:
+    if path not in _tables:
+        _tables[path] = UnitTable(encoder(path))
     return _tables[path]

@@ -10,15 +10,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Text bytes worked on at a time. A single longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Limits of an Arrow batch: two tasks' batches and their copies must fit beside the JVM.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
 #: An odd multiplier of polynomial hashes and its inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of texts hold a few MB instead of the usual 64, in this session from now on."""
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if int(spark.conf.get(key).rstrip("bB")) > most:
+            spark.conf.set(key, str(most))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column, and the start of each row with the end of the last."""
     column = column.cast(pa.large_binary()).fill_null(b"")

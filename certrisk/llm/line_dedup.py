@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from certrisk.llm.common import bounded_batches
+
 SPANS = "array<struct<start:long,end:long>>"
 _UNITS = pa.schema([("u_id", pa.int64()), ("u_hash", pa.int64()), ("start", pa.int64()),
                     ("end", pa.int64()), ("digest", pa.binary())])
@@ -104,6 +106,7 @@ def without_spans(text: Column, spans: Column) -> Column:
 
 def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10) -> DataFrame:
     """``docs`` with repeated units cut from ``text``, and ``removed``: their original places."""
+    bounded_batches(docs.sparkSession)
     docs = docs.drop("removed")
     spans = repeated_spans(unit_digests(docs, separator, min_words))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("u_id")) & (F.xxhash64("text") == F.col("u_hash"))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import slices, utf8
+from certrisk.llm.common import bounded_batches, slices, utf8
 from certrisk.llm.units import tokenizer_table
 from certrisk.session import staged
 
@@ -147,6 +147,7 @@ def pack(
     included, is in one piece. Every round is staged, so that its windows stay the
     same when a task runs again.
     """
+    bounded_batches(docs.sparkSession)
     first = encoded_documents(docs, tokenizer, end_id, window, open_windows, max_gap)
     level, done = 0, []
     current = staged(first, "packed")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import utf8
+from certrisk.llm.common import bounded_batches, utf8
 from certrisk.llm.tagger import KINDS, STEP, WINDOW, Tagger, spans_of, symbols, train
 
 Span = tuple[str, int, int]
@@ -266,6 +266,7 @@ def masked(text: Column, spans: Column, mask: Callable[[Column], Column]) -> Col
 
 def with_spans(docs: DataFrame, tagger: Tagger | None = None, column: str = "pii") -> DataFrame:
     """Add the spans of ``text``; trains a tagger on ``docs`` unless one is given."""
+    bounded_batches(docs.sparkSession)
     tagger = tagger or fit_tagger(docs)
     return docs.withColumn(column, F.coalesce(
         spans_column(F.col("text").cast("string"), tagger), F.array().cast(SPANS)))

@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import lowered, mixed, prefix_hashes, slices, span_hashes, utf8, word_spans
+from certrisk.llm.common import bounded_batches, lowered, mixed, prefix_hashes, slices, span_hashes, utf8, word_spans
 from certrisk.llm.components import components
 from certrisk.session import staged
 
 #: Shingles of a cluster that one task takes; larger clusters are dealt out.
 BLOCK_SHINGLES = 400_000
 #: Part keys gathered before they are grouped and sent on, and those a bucket should receive.
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 600_000
 BUCKET_KEYS = 500_000
 _MULTIPLIERS = (np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64))
@@ -391,6 +391,7 @@ def jaccard_components(
     docs: DataFrame, width: int = 4, percent: int = 85, block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id`` of every row."""
+    bounded_batches(docs.sparkSession)
     table = staged(set_table(docs, width), "sets")
     sets = table.filter("n_shingles > 0").groupBy("set_id").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("sample"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n_shingles"),

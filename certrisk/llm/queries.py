@@ -11,6 +11,7 @@ from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
 from certrisk.llm.pii import with_spans
 from certrisk.llm.set_join import jaccard_components
+from certrisk.llm.suffix_dedup import dedup_substrings
 from certrisk.llm.tagger import KINDS
 from certrisk.llm.quality_rules import judged
 
@@ -25,6 +26,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -63,6 +70,7 @@ def op9_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,

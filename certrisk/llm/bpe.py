@@ -93,20 +93,30 @@ def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
 
 
 class WordIds:
-    """Ids by word hash, as sorted arrays."""
+    """Ids by word hash, as sorted arrays; every Python worker holds one, so numbers are short."""
 
     def __init__(self, hashes: pa.Array, ids: pa.Array):
         keys = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
         flat, starts = utf8(ids)
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], flat.view("<u4") if len(flat) else np.zeros(0, "<u4")
-        self.starts, self.sizes = starts[:-1][order] // 4, (np.diff(starts) // 4)[order]
+        ids_of = flat.view("<u4") if len(flat) else np.zeros(0, "<u4")
+        sizes = (np.diff(starts) // 4)[order]
+        ids_in_order = gathered(ids_of, starts[:-1][order] // 4, sizes)
+        self.keys = keys[order]
+        self.ids = ids_in_order.astype(np.uint16 if ids_in_order.max(initial=0) < 1 << 16 else np.uint32)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        self.bounds = bounds.astype(np.uint32 if bounds[-1] < 1 << 32 else np.int64)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each hash, and whether it is there."""
         place = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
         return place, self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
 
+    def runs(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of the words at these places start, and how many they are."""
+        starts = self.bounds[place].astype(np.int64)
+        return starts, self.bounds[place + 1].astype(np.int64) - starts
+
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs of ``flat`` one after another."""
@@ -151,10 +161,11 @@ def encode_decode(
         raise ValueError("two words share a hash")
     whole = n * 8 + (size or 0) <= table_bytes
     sent = words if whole else words.orderBy(F.desc("n"), "hash").limit(frequent)
-    arrow = sent.select("hash", "ids").toArrow().combine_chunks()
+    arrow = sent.select("hash", "ids").toArrow()
     shared = spark.sparkContext.broadcast(WordIds(*(
-        arrow.column(c).combine_chunks() if arrow.num_rows else pa.array([], t)
+        pa.concat_arrays([pa.array([], t), *arrow.column(c).chunks])
         for c, t in (("hash", pa.int64()), ("ids", pa.binary())))))
+    del arrow
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,14 +186,15 @@ def encode_decode(
                 distinct, back = np.unique(hashes, return_inverse=True)
                 place, known = table.find(distinct)
                 flat, from_, sizes = table.ids, np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-                from_[known], sizes[known] = table.starts[place[known]], table.sizes[place[known]]
+                from_[known], sizes[known] = table.runs(place[known])
                 if not known.all():
                     own = part.column("own").flatten()
                     extra = WordIds(own.field("hash"), own.field("ids"))
                     place, there = extra.find(distinct[~known])
                     if not there.all():
                         raise ValueError("a word is missing from the table")
-                    from_[~known], sizes[~known] = extra.starts[place] + len(flat), extra.sizes[place]
+                    from_[~known], sizes[~known] = extra.runs(place)
+                    from_[~known] += len(flat)
                     flat = np.concatenate([flat, extra.ids])
                 sizes, from_ = sizes[back], from_[back]
                 ids = gathered(flat, from_, sizes)

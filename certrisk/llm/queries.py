@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from certrisk.llm.bpe import encode_decode
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
+from certrisk.llm.piecewise import compared_with_next
 from certrisk.llm.pii import with_spans
 from certrisk.llm.set_join import jaccard_components
 from certrisk.llm.suffix_dedup import dedup_substrings
@@ -64,6 +65,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = compared_with_next(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", "near_edited", "near_next")
+
+
 def op9_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -75,6 +82,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
+    "op8_piecewise": op8_piecewise,
     "op9_set_join": op9_set_join,
 }
 

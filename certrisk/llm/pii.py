@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certrisk.llm.common import bounded_batches, utf8
-from certrisk.llm.tagger import KINDS, STEP, WINDOW, Tagger, spans_of, symbols, train
+from certrisk.llm.tagger import EXAMPLE, KINDS, STEP, WINDOW, Tagger, spans_of, symbols, train
 
 Span = tuple[str, int, int]
 SPANS = "array<struct<kind:string,start:long,end:long,source:string>>"
@@ -203,15 +203,15 @@ def labelled_windows(texts: list[str], size: int = 900, seed: int = 7) -> list[t
     out: list[tuple[str, list[Span]]] = []
     for text in texts:
         for kind, start, end in pattern_spans(text)[:4]:
-            s = max(0, start - rng.randint(0, 40))
-            piece = text[s:s + WINDOW]
+            s = max(0, start - rng.randint(0, 30))
+            piece = text[s:s + EXAMPLE]
             out.append((piece, [x for x in pattern_spans(piece)]))
     out = out[:size // 3]
     while len(out) < size:
         text = rng.choice(texts)
         s = rng.randrange(max(1, len(text) - 30))
-        piece, spans = text[s:s + rng.randint(5, 45)], []
-        for _ in range(rng.choice([0, 1, 1, 1, 2])):
+        piece, spans = text[s:s + rng.randint(3, 25)], []
+        for _ in range(rng.choice([0, 1, 1, 1, 1, 2])):
             if rng.random() < 0.6:
                 kind = rng.choice(KINDS)
                 value = _generated(rng, kind)
@@ -222,7 +222,7 @@ def labelled_windows(texts: list[str], size: int = 900, seed: int = 7) -> list[t
                 piece += " "
             piece += value + rng.choice([" ", ", ", ". ", "\n", ")"])
         piece += text[s:s + rng.randint(0, 30)]
-        out.append((piece[:WINDOW], [x for x in spans if x[2] <= WINDOW]))
+        out.append((piece[:EXAMPLE], [x for x in spans if x[2] <= EXAMPLE]))
     return out
 
 

@@ -13,6 +13,7 @@ import numpy as np
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 WINDOW = 96
+EXAMPLE = 64
 STEP = 48
 #: Characters 32 to 126, line feed and tab, any other letter, any other character, padding.
 SYMBOLS = 100
@@ -61,17 +62,19 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def _lstm(p: dict, side: str, x: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-    """States of all steps, and what the gradient needs of them; ``x`` is steps, rows, embedding."""
-    w, u, b = p["w" + side], p["u" + side], p["b" + side]
-    size = u.shape[0]
-    h = np.zeros((x.shape[1], size), np.float32)
+def _lstm(p: dict, x: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+    """States of all steps, and what the gradient needs of them. ``x`` is steps, directions, rows,
+    embedding; both directions run side by side, the second over the reversed text."""
+    w, u, b = p["w"], p["u"], p["b"]
+    size = u.shape[1]
+    h = np.zeros((2, x.shape[2], size), x.dtype)
     c, states, kept = h.copy(), [], []
-    inputs = x @ w + b
+    inputs = x @ w + b[:, None, :]
     for step in inputs:
         z = step + h @ u
-        i, f, o = np.split(_sigmoid(z[:, :3 * size]), 3, 1)
-        g = np.tanh(z[:, 3 * size:])
+        gates = _sigmoid(z[..., :3 * size])
+        i, f, o = gates[..., :size], gates[..., size:2 * size], gates[..., 2 * size:]
+        g = np.tanh(z[..., 3 * size:])
         before, h_before = c, h
         c = f * c + i * g
         t = np.tanh(c)
@@ -82,23 +85,23 @@ def _lstm(p: dict, side: str, x: np.ndarray, keep: bool) -> tuple[np.ndarray, li
     return np.stack(states), kept
 
 
-def _lstm_back(p: dict, side: str, x: np.ndarray, kept: list, dh_all: np.ndarray, grad: dict) -> np.ndarray:
-    u = p["u" + side]
-    dh, dc = np.zeros_like(dh_all[0]), 0.0
-    dz_all = np.zeros((*dh_all.shape[:2], 4 * u.shape[0]), np.float32)
+def _lstm_back(p: dict, x: np.ndarray, kept: list, dh_all: np.ndarray, grad: dict) -> np.ndarray:
+    u = p["u"]
+    back = u.transpose(0, 2, 1)
+    dh, dc = np.zeros_like(dh_all[0]), np.zeros_like(dh_all[0])
+    dz_all = np.zeros((*dh_all.shape[:3], u.shape[2]), dh_all.dtype)
     for s in range(len(kept) - 1, -1, -1):
         i, f, o, g, before, h_before, t = kept[s]
         dh = dh + dh_all[s]
         dc = dc + dh * o * (1 - t * t)
         dz = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * t * o * (1 - o),
-                             dc * i * (1 - g * g)], 1)
+                             dc * i * (1 - g * g)], 2)
         dz_all[s] = dz
-        grad["u" + side] += h_before.T @ dz
-        dh, dc = dz @ u.T, dc * f
-    flat = dz_all.reshape(-1, dz_all.shape[2])
-    grad["w" + side] += x.reshape(-1, x.shape[2]).T @ flat
-    grad["b" + side] += flat.sum(0)
-    return dz_all @ p["w" + side].T
+        grad["u"] += h_before.transpose(0, 2, 1) @ dz
+        dh, dc = dz @ back, dc * f
+    grad["w"] += (x.transpose(0, 1, 3, 2) @ dz_all).sum(0)
+    grad["b"] += dz_all.sum((0, 2))
+    return dz_all @ p["w"].transpose(0, 2, 1)
 
 
 @dataclass
@@ -107,10 +110,10 @@ class Tagger:
 
     def _scores(self, rows: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
         x = self.p["embed"][rows.T]
-        left, kept_left = _lstm(self.p, "1", x, keep)
-        right, kept_right = _lstm(self.p, "2", x[::-1], keep)
-        both = np.concatenate([left, right[::-1]], 2)
-        return both @ self.p["out"] + self.p["bias"], (x, both, kept_left, kept_right)
+        x = np.stack([x, x[::-1]], 1)
+        states, kept = _lstm(self.p, x, keep)
+        both = np.concatenate([states[:, 0], states[::-1, 1]], 2)
+        return both @ self.p["out"] + self.p["bias"], (x, both, kept)
 
     def decode(self, rows: np.ndarray) -> np.ndarray:
         """Best tags of each row of symbols."""
@@ -128,7 +131,7 @@ class Tagger:
 
     def loss(self, rows: np.ndarray, tags: np.ndarray, grad: dict) -> float:
         """Mean negative log likelihood, with its gradient added to ``grad``."""
-        scores, (x, both, kept_left, kept_right) = self._scores(rows, True)
+        scores, (x, both, kept) = self._scores(rows, True)
         move, begin = self.p["move"], self.p["begin"]
         steps, n, _ = scores.shape
         ahead = [scores[0] + begin]
@@ -151,14 +154,14 @@ class Tagger:
                 grad["move"] += pair.sum(0) / n
                 np.subtract.at(grad["move"], (tags[s - 1], tags[s]), 1 / n)
             d[s][lane, tags[s]] -= 1
-        d = (d / n).astype(np.float32)
+        d = (d / n).astype(both.dtype)
         flat = d.reshape(-1, TAGS)
         grad["out"] += both.reshape(-1, both.shape[2]).T @ flat
         grad["bias"] += flat.sum(0)
         dh = d @ self.p["out"].T
-        size = self.p["u1"].shape[0]
-        dx = _lstm_back(self.p, "1", x, kept_left, dh[:, :, :size], grad)
-        dx = dx + _lstm_back(self.p, "2", x[::-1], kept_right, dh[::-1, :, size:], grad)[::-1]
+        size = self.p["u"].shape[1]
+        dx = _lstm_back(self.p, x, kept, np.stack([dh[..., :size], dh[::-1, :, size:]], 1), grad)
+        dx = dx[:, 0] + dx[::-1, 1]
         np.add.at(grad["embed"], rows.T.ravel(), dx.reshape(-1, dx.shape[2]))
         return float((total - gold).mean())
 
@@ -177,9 +180,9 @@ def new_tagger(embedding: int = 12, hidden: int = 16, seed: int = 7) -> Tagger:
     p = {"embed": embed,
          "out": draw(2 * hidden, TAGS), "bias": np.zeros(TAGS, np.float32),
          "move": np.zeros((TAGS, TAGS), np.float32), "begin": np.zeros(TAGS, np.float32)}
-    for side in "12":
-        p |= {"w" + side: draw(embedding, 4 * hidden), "u" + side: draw(hidden, 4 * hidden),
-              "b" + side: np.concatenate([np.zeros(hidden), np.ones(hidden), np.zeros(2 * hidden)]).astype(np.float32)}
+    forget = np.concatenate([np.zeros(hidden), np.ones(hidden), np.zeros(2 * hidden)]).astype(np.float32)
+    p |= {"w": np.stack([draw(embedding, 4 * hidden) for _ in range(2)]),
+          "u": np.stack([draw(hidden, 4 * hidden) for _ in range(2)]), "b": np.stack([forget, forget])}
     for tag in range(2, TAGS, 2):  # an inside tag follows its own begin or inside
         p["begin"][tag] = -1e4
         p["move"][:, tag] = -1e4
@@ -191,13 +194,13 @@ def train(
     examples: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 12, batch: int = 32,
     rate: float = 0.03, seed: int = 7,
 ) -> Tagger:
-    """Fit on texts of at most ``WINDOW`` characters with their labelled spans (Adam)."""
-    rows = np.full((len(examples), WINDOW), PAD, np.int64)
-    tags = np.zeros((len(examples), WINDOW), np.int64)
+    """Fit on texts of at most ``EXAMPLE`` characters with their labelled spans (Adam)."""
+    rows = np.full((len(examples), EXAMPLE), PAD, np.int64)
+    tags = np.zeros((len(examples), EXAMPLE), np.int64)
     for k, (text, spans) in enumerate(examples):
-        known = symbols(text[:WINDOW])
+        known = symbols(text[:EXAMPLE])
         rows[k, :len(known)] = known
-        tags[k] = tags_of(WINDOW, [x for x in spans if x[2] <= WINDOW])
+        tags[k] = tags_of(EXAMPLE, [x for x in spans if x[2] <= EXAMPLE])
     model = new_tagger(seed=seed)
     fixed = model.p["move"] < -1e3
     m = {k: np.zeros_like(v) for k, v in model.p.items()}

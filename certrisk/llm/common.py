@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Text bytes worked on at a time. A single longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Limits of an Arrow batch: two tasks' batches and their copies must fit beside the JVM.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
 #: An odd multiplier of polynomial hashes and its inverse modulo 2**64.

@@ -33,7 +33,7 @@ _SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
     ("ids", pa.binary()), ("open", pa.bool_())])
-FLUSH_ROWS = 5_000
+FLUSH_ROWS = 1_000
 
 
 class Packer:

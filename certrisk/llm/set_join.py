@@ -41,7 +41,7 @@ from certrisk.session import staged
 #: Shingles of a cluster that one task takes; larger clusters are dealt out.
 BLOCK_SHINGLES = 400_000
 #: Part keys gathered before they are grouped and sent on, and those a bucket should receive.
-FLUSH_KEYS = 600_000
+FLUSH_KEYS = 400_000
 BUCKET_KEYS = 500_000
 _MULTIPLIERS = (np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                           0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64))
@@ -235,14 +235,14 @@ class SetGroup:
         flat = np.concatenate(sets)
         _, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
         order = np.argsort(counts, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        owner = np.repeat(np.arange(self.n), self.sizes)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), self.sizes)
         token = rank[back]
         by_set = np.lexsort((token, owner))
         self.tokens = token[by_set]
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        position = np.arange(len(flat)) - np.repeat(self.starts[:-1], self.sizes)
+        position = (np.arange(len(flat)) - np.repeat(self.starts[:-1], self.sizes)).astype(np.int32)
         # Index lists: of each shingle, its sets by ascending position.
         listed = np.lexsort((position, self.tokens))
         self.list_owner, self.list_position = owner[listed], position[listed]

@@ -70,7 +70,7 @@ def cut(data: np.ndarray, starts: np.ndarray, special: bytes = b"<|") -> tuple[n
 class UnitTable:
     """Ids of the units seen so far, by hash; bounded, and emptied when full."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
         self._clear()
 

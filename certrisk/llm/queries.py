@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certrisk.llm.bpe import encode_decode
+from certrisk.llm.licenses import TEMPLATES, licences
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.packing import pack
 from certrisk.llm.piecewise import compared_with_next
@@ -14,6 +15,7 @@ from certrisk.llm.pii import with_spans
 from certrisk.llm.set_join import jaccard_components
 from certrisk.llm.suffix_dedup import dedup_substrings
 from certrisk.llm.tagger import KINDS
+from certrisk.llm.quality_classifier import classify
 from certrisk.llm.quality_rules import judged
 
 
@@ -21,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents name their source, which stands for the host, and are in one language, for the path."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                    F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -75,7 +83,12 @@ def op9_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
@@ -84,10 +97,46 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_piecewise": op8_piecewise,
     "op9_set_join": op9_set_join,
+    "op10_licenses": op10_licenses,
 }
 
+def _plain(column: str) -> str:
+    return f"trim(regexp_replace(lower({column}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+def _pairs(words: str) -> str:
+    return f"list_distinct([{words}[i] || ' ' || {words}[i + 1] FOR i IN range(1, len({words}))])"
+
+
 #: The same results in DuckDB.
 ORACLES = {
+    "op10_licenses": f"""
+WITH templates AS (
+  SELECT licence, {_pairs("words")} AS pairs FROM (
+    SELECT licence, string_split({_plain("notice")}, ' ') AS words
+    FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in TEMPLATES)}) AS t(licence, notice))
+), units AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS unit, unnest(lines) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+  UNION ALL
+  SELECT doc_id, 0, replace(text, chr(10), ' ') FROM documents WHERE contains(text, chr(10))
+), sets AS (
+  SELECT doc_id, unit, {_pairs("words")} AS own
+  FROM (SELECT *, string_split({_plain("line")}, ' ') AS words FROM units) WHERE len(words) > 1
+), scored AS (
+  SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(own, pairs)) / (len(own) + len(pairs)) AS score
+  FROM sets, templates WHERE len(own) >= len(pairs) * 0.8 / 1.2 AND len(own) <= len(pairs) * 1.2 / 0.8
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY score DESC, licence) AS r FROM scored WHERE score >= 0.8
+), found AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+         min(struct_pack(s := -score, l := licence)) AS top, string_agg(unit || ':' || licence, ',' ORDER BY unit) AS places
+  FROM best WHERE r = 1 GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(licences, '') AS licences, top.l AS best_licence,
+       round(-top.s, 6) AS best_score, coalesce(places, '') AS places
+FROM documents d LEFT JOIN found USING (doc_id)
+""",
     "op5_line_dedup": r"""
 WITH pieces AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL

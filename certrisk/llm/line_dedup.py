@@ -95,6 +95,9 @@ def without_spans(text: Column, spans: Column) -> Column:
         out = []
         for body, places in zip(texts, removed):
             body, at, kept = body.as_py(), 0, []
+            if body is None:  # functions run on every row, whatever condition they stand in
+                out.append(None)
+                continue
             for p in places.as_py() or ():
                 kept.append(body[at:p["start"]])
                 at = p["end"]

@@ -6,6 +6,7 @@ that numpy works on all rows at once. Null texts are empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,14 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle Python workers share an executor with busy ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column, and the start of each row with the end of the last."""
     column = column.cast(pa.large_binary()).fill_null(b"")
@@ -50,6 +59,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         end = max(at + 1, int(np.searchsorted(starts, starts[at] + limit, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    give_back()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -14,8 +14,10 @@ one by the few shingles in which the two differ.
 
 Equal sets are one set throughout. Keys meet in blocks of a task first, so a part that very
 many sets share costs one row per block. A cluster beyond ``block_shingles`` is dealt over
-several tasks: each compares its share to the cluster's first set, and only sets without a
-link to that one are then compared to all shares. No set is left out.
+several tasks. A sample of its sets tells which shingles most of them hold, and the set nearest to
+these becomes the cluster's centre, to which all are compared. The sets without a link to the
+centre are then compared to each other and to all the rest, by pairs of blocks: a task takes
+two blocks, whatever the size of the cluster. No set is left out.
 
 Defined results: null, empty and blank texts have the empty set, are linked with nothing and
 are their own component; ``component_id`` is the smallest ``doc_id`` of the component's rows, a
@@ -31,15 +33,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, lowered, mixed, prefix_hashes, slices, span_hashes, utf8, word_spans
+from certrisk.llm.common import bounded_batches, give_back, lowered, mixed, prefix_hashes, slices, span_hashes, utf8, word_spans
 from certrisk.llm.components import components
 from certrisk.session import staged
 
 #: Shingles of a cluster that one task takes; larger clusters are dealt out.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 1_200_000
 #: Part keys gathered before they are grouped and sent on, and those a bucket should receive.
 FLUSH_KEYS = 400_000
 BUCKET_KEYS = 500_000
@@ -282,8 +285,8 @@ class SetGroup:
         others = others[others != k]
         return others, self.overlaps(k, others)
 
-    def links(self) -> list[tuple[int, int]]:
-        """Links that connect every two sets that links connect."""
+    def links(self, settled: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """Links that connect every two sets that links connect; the ``settled`` are known to be one component."""
         out: list[tuple[int, int]] = []
 
         def join(a: int, b: int) -> None:
@@ -294,7 +297,9 @@ class SetGroup:
 
         # If x is linked to the leader and z to x, distances add up: 1 - J(leader, z) <= 2 * (1 - t).
         relaxed = max(0.01, 2 * self.percent / 100 - 1)
-        done = np.zeros(self.n, bool)
+        done = np.zeros(self.n, bool) if settled is None else settled.copy()
+        if done.any():
+            self.parent[done] = np.flatnonzero(done)[0]
         for leader in range(self.n):
             if done[leader]:
                 continue
@@ -335,31 +340,53 @@ class SetGroup:
         return out
 
 
+_SCORE = pa.schema([("cluster", pa.int64()), ("set_id", pa.int64()), ("nearness", pa.float64())])
+
+
 def cluster_links(sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """``a, b``: links that connect what is linked, within ``sets(cluster, set_id, n_shingles, values)``."""
 
-    def decoded(rows: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-        own = dict(zip(rows.column("set_id").to_pylist(), rows.column("values").to_pylist()))
-        return list(own), [np.frombuffer(v, np.uint64) for v in own.values()]
+    def decoded(rows: pa.Table) -> dict[int, np.ndarray]:
+        return {i: np.frombuffer(v, np.uint64) for i, v in zip(rows.column("set_id").to_pylist(), rows.column("values").to_pylist())}
+
+    def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return shared, len(a) + len(b) - shared
 
     def within(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("set_id")
-        ids, values = decoded(rows)
-        found = SetGroup(values, percent).links() if len(ids) > 1 else []
+        own = decoded(rows)
+        ids, settled = list(own), np.zeros(len(own), bool)
+        if "settled" in rows.column_names:
+            known = dict(zip(rows.column("set_id").to_pylist(), rows.column("settled").to_pylist()))
+            settled = np.array([known[i] for i in ids], bool)
+        found = SetGroup(list(own.values()), percent).links(settled) if len(ids) > 1 else []
+        del own, rows
+        give_back()
         return pa.table([pa.array([ids[x] for x, _ in found], pa.int64()),
                          pa.array([ids[y] for _, y in found], pa.int64())], _EDGE)
 
-    def to_first(rows: pa.Table) -> pa.Table:
-        """Links to the cluster's first set; a set without one as an edge to itself."""
-        ids, values = decoded(rows)
-        first = rows.column("cluster")[0].as_py()
-        head = values[ids.index(first)]
-        a, b = [], []
-        for i, v in zip(ids, values):
-            shared = len(np.intersect1d(head, v, assume_unique=True))
-            if i != first:
-                a.append(first if 100 * shared >= percent * (len(head) + len(v) - shared) else i)
+    def nearness(rows: pa.Table) -> pa.Table:
+        """How similar each set of a share is to what most sets of the sample hold."""
+        sample = decoded(rows.filter(rows.column("sampled")))
+        own = decoded(rows.filter(pa.compute.invert(rows.column("sampled"))))
+        held, counts = np.unique(np.concatenate(list(sample.values())), return_counts=True)
+        common = held[2 * counts >= len(sample)]
+        scores = [shared / max(1, total) for shared, total in (similarity(common, v) for v in own.values())]
+        cluster = rows.column("cluster")[0].as_py()
+        give_back()
+        return pa.table([pa.array([cluster] * len(own), pa.int64()), pa.array(list(own), pa.int64()), pa.array(scores, pa.float64())], _SCORE)
+
+    def to_centre(rows: pa.Table) -> pa.Table:
+        """Links to the cluster's centre; a set without one as an edge to itself."""
+        centre = rows.column("centre")[0].as_py()
+        own, a, b = decoded(rows), [], []
+        for i, v in own.items():
+            if i != centre:
+                shared, total = similarity(own[centre], v)
+                a.append(centre if 100 * shared >= percent * total else i)
                 b.append(i)
+        give_back()
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], _EDGE)
 
     weight = sets.groupBy("cluster").agg(F.sum("n_shingles").alias("weight")).withColumn(
@@ -369,21 +396,48 @@ def cluster_links(sets: DataFrame, percent: int, block_shingles: int) -> DataFra
     many = large.count()
     if not many:
         return sets.groupBy("cluster").applyInArrow(within, "a long, b long")
-    known = F.broadcast(large) if many <= 100_000 else large
-    dealt = sets.join(known, F.col("cluster") == F.col("_c"), "left").drop("_c")
+
+    def per_cluster(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if many <= 100_000 else table
+
+    dealt = sets.join(per_cluster(large), F.col("cluster") == F.col("_c"), "left").drop("_c")
     small = dealt.filter("blocks IS NULL").drop("blocks").groupBy("cluster").applyInArrow(within, "a long, b long")
-    big = dealt.filter("blocks IS NOT NULL")
+    big = dealt.filter("blocks IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    own_block = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    heads = big.filter("set_id = cluster").withColumn("block", everywhere)
-    others = big.filter("set_id <> cluster").withColumn("block", own_block)
-    first = staged(heads.unionByName(others).groupBy("cluster", "block").applyInArrow(
-        to_first, "a long, b long"), "first-links")
+    # About half a block of each cluster, its first set in any case.
+    sampled = (F.col("set_id") == F.col("cluster")) | (F.pmod(F.xxhash64("set_id", F.lit(1)), 2 * F.col("blocks")) == 0)
+    share = big.withColumn("sampled", F.lit(False))
+    scores = share.unionByName(big.filter(sampled).withColumn("block", everywhere).withColumn("sampled", F.lit(True))).groupBy(
+        "cluster", "block").applyInArrow(nearness, "cluster long, set_id long, nearness double")
+    centres = staged(scores.groupBy("cluster").agg(F.max_by("set_id", F.struct("nearness", "set_id")).alias("centre")), "centres")
+    big = big.join(per_cluster(centres.withColumnRenamed("cluster", "_c")), F.col("cluster") == F.col("_c")).drop("_c")
+    centre = big.filter("set_id = centre").withColumn("block", everywhere)
+    first = staged(big.filter("set_id <> centre").unionByName(centre).groupBy("cluster", "block").applyInArrow(
+        to_centre, "a long, b long"), "first-links")
     alone = first.filter("a = b").select(F.col("a").alias("_alone"))
-    left = big.join(alone, F.col("set_id") == F.col("_alone"), "left_semi").withColumn("block", everywhere)
-    second = (heads.unionByName(others).unionByName(left)
-              .join(left.select(F.col("cluster").alias("_c")).distinct(), F.col("cluster") == F.col("_c"), "left_semi")
-              .groupBy("cluster", "block").applyInArrow(within, "a long, b long"))
+    left = staged(big.join(alone, F.col("set_id") == F.col("_alone"), "left_semi").drop("block"), "unlinked-sets")
+    # The others but the centre, which all have met already; of these, no two need a look.
+    settled = big.filter("set_id <> centre").join(alone, F.col("set_id") == F.col("_alone"), "left_anti").drop("block")
+
+    def counted(table: DataFrame, name: str) -> DataFrame:
+        return table.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / block_shingles).alias(name))
+
+    dealing = per_cluster(staged(counted(left, "chunks").join(counted(settled, "shares"), "cluster", "left"), "dealing").withColumnRenamed("cluster", "_c"))
+
+    def numbers(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    def dealt_out(table: DataFrame, mark: bool) -> DataFrame:
+        return table.join(dealing, F.col("cluster") == F.col("_c")).drop("_c").withColumn("settled", F.lit(mark)).withColumn(
+            "own", F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("shares" if mark else "chunks")))
+
+    # Each two blocks of unlinked sets meet once, and each block meets each share of the others.
+    left, settled = dealt_out(left, False), dealt_out(settled, True)
+    pairs = left.withColumn("other", numbers("chunks")).withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+    against = settled.withColumn("x", F.col("own")).withColumn("y", numbers("chunks")).withColumn("y", -1 - F.col("y"))
+    chunks = left.filter("shares IS NOT NULL").withColumn("x", numbers("shares")).withColumn("y", -1 - F.col("own"))
+    met = pairs.drop("other").unionByName(against).unionByName(chunks).select("cluster", "x", "y", "set_id", "values", "settled")
+    second = met.groupBy("cluster", "x", "y").applyInArrow(within, "a long, b long")
     return small.unionByName(first.filter("a <> b")).unionByName(second)
 
 

@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return one_of_each(docs)
+    """One document of each group of near copies (five words, 0.8), the one with the smallest id."""
+    return one_of_each(docs, width=5, percent=80)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,8 +174,9 @@ def new_tagger(embedding: int = 12, hidden: int = 16, seed: int = 7) -> Tagger:
 
     # Kinds of characters are told apart from the start; what they mean is learned.
     embed = rng.standard_normal((SYMBOLS, embedding)).astype(np.float32) * 0.1
-    for k, kind in enumerate(("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                              "@", ".", "-", " ", "+", "()", ",;:!?\"'")):
+    kinds = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+             "@", ".", "-", " ", "+", "()", ",;:!?\"'")
+    for k, kind in enumerate(kinds[:embedding]):
         embed[[ord(c) - 32 + 3 for c in kind], k] = 2
     p = {"embed": embed,
          "out": draw(2 * hidden, TAGS), "bias": np.zeros(TAGS, np.float32),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from certrisk.llm.bpe import encode_decode
 from certrisk.llm.licenses import TEMPLATES, licences
 from certrisk.llm.line_dedup import dedup_units
+from certrisk.llm.middle import digests
+from certrisk.llm.mixing import taken
 from certrisk.llm.packing import pack
 from certrisk.llm.piecewise import compared_with_next
 from certrisk.llm.pii import with_spans
@@ -17,6 +19,7 @@ from certrisk.llm.suffix_dedup import dedup_substrings
 from certrisk.llm.tagger import KINDS
 from certrisk.llm.quality_classifier import classify
 from certrisk.llm.quality_rules import judged
+from certrisk.llm.whitening import whitened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +90,28 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitened(table(spark, sf_dir, "embeddings"))
+    if model is None:
+        model_columns = [F.lit(None).cast(t).alias(c) for c, t in (("n", "long"), ("explained", "double"), ("identity_error", "double"))]
+    else:
+        share = F.array(*[F.lit(float(e) / model.trace if model.trace else None).cast("double") for e in model.values])
+        model_columns = [F.lit(model.n).cast("long").alias("n"), F.element_at(share, F.col("at") + 1).alias("explained"),
+                         F.lit(model.identity_error).cast("double").alias("identity_error")]
+    # A deviation that no long can hold is null here; the operator has it as a decimal.
+    return rows.select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), model_columns[0], "deviation", "whitened", *model_columns[1:])
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
@@ -98,8 +123,12 @@ QUERIES = {
     "op8_piecewise": op8_piecewise,
     "op9_set_join": op9_set_join,
     "op10_licenses": op10_licenses,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_mixing": op13_mixing,
 }
 
+
 def _plain(column: str) -> str:
     return f"trim(regexp_replace(lower({column}), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -161,5 +190,54 @@ WITH pieces AS (
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
        coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_spans, '') AS removed_spans
 FROM documents d LEFT JOIN kept k USING (doc_id)
+""",
+    "op12_fill_middle": r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256(concat('7:', doc_id)) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents
+), hashed AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM drawn
+), formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS q,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM hashed
+), parts AS (
+  SELECT *, array_to_string(u[1:p], '') AS prefix, array_to_string(u[p+1:q], '') AS middle,
+         array_to_string(u[q+1:], '') AS suffix FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+              ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""",
+    "op13_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::HUGEINT AS w FROM d GROUP BY source
+), falling AS (  -- the sources that reach their limit first, and what is left for the others
+  SELECT *, sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER before, 0) AS left_words,
+         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS left_w FROM s
+  WINDOW before AS (ORDER BY source_size / w::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT left_words::HUGEINT AS words, left_w::HUGEINT AS ws FROM falling WHERE 3 * source_size * left_w >= left_words * w
+  ORDER BY source_size / w::DOUBLE, source NULLS LAST LIMIT 1
+), t AS (
+  SELECT source, source_size, 3 * source_size * ws < words * w AS held, w * words AS up, ws * greatest(source_size, 1) AS down,
+         w * words / ws::DOUBLE AS share, ('0x' || md5(concat('13:', source))[1:5])::HUGEINT AS u FROM s, level
+), f AS (
+  SELECT source, source_size, CASE WHEN held OR source_size = 0 THEN 3.0::DOUBLE * source_size ELSE share END AS target,
+         CASE WHEN held THEN 3 ELSE up END AS up, CASE WHEN held THEN 1 ELSE down END AS down, u FROM t
+), r AS (
+  SELECT d.*, f.*, row_number() OVER (PARTITION BY d.source ORDER BY size, md5(concat('13:', doc_id)), doc_id)::HUGEINT AS i
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+       (size * ((i * up * 1048576 + u * down) // (down * 1048576) - ((i - 1) * up * 1048576 + u * down) // (down * 1048576)))::BIGINT AS taken
+FROM r
 """,
 }

@@ -31,6 +31,8 @@ class RiskConfig:
     tfidf_min_df: float = 2.0
     tfidf_max_df: float = 0.9
     max_iter: int = 1000
+    boost_rounds: int = 100
+    boost_depth: int = 6
     # sampling
     train_fraction: float = 0.70
     validation_fraction: float = 0.15

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
-    CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
     VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -19,10 +19,12 @@ from certrisk import constants as k
 from certrisk.config import DEFAULT, RiskConfig
 from certrisk.functions.text import strip_accents
 from certrisk.operators.ensemble import ML_TYPE
+from certrisk.operators.logistic import class_weights, fit_logistic
+from certrisk.operators.vocabulary import term_stats, vocabulary
 from certrisk.session import staged
 
 NUMERIC = tuple(f"x_{name}" for name in k.MODEL_COLUMNS)
-MODEL_TYPES = ("logistic", "xgboost")
+MODEL_TYPES = ("logistic", "xgboost", "numbers")
 
 
 def model_input(df: DataFrame, *keep: str) -> DataFrame:
@@ -51,14 +53,14 @@ def with_terms(df: DataFrame) -> DataFrame:
     return df
 
 
-def numeric_scaling(df: DataFrame) -> SQLTransformer:
+def numeric_scaling(df: DataFrame, columns: tuple[str, ...] = NUMERIC) -> SQLTransformer:
     """Centre by the mean, divide by the population deviation; constants are only centred."""
     sums = []
-    for x in NUMERIC:
+    for x in columns:
         sums += [F.avg(x).alias(f"m_{x}"), F.stddev_pop(x).alias(f"s_{x}")]
     row = df.agg(*sums).first()
     parts = [
-        f"({x} - {row[f'm_{x}']!r}D) / {(row[f's_{x}'] or 1.0)!r}D AS z_{x}" for x in NUMERIC]
+        f"({x} - {row[f'm_{x}']!r}D) / {(row[f's_{x}'] or 1.0)!r}D AS z_{x}" for x in columns]
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
@@ -75,7 +77,8 @@ class CertificateModel:
         """Add ``probability`` as an array ``[benign, phishing]``."""
         keep = df.columns
         scored = self.pipeline.transform(model_input(df, F.struct(*keep).alias("x_row")))
-        return scored.select("x_row.*", vector_to_array("probability").alias("probability"))
+        p = F.col("probability") if self.model_type == "numbers" else vector_to_array("probability")
+        return scored.select("x_row.*", p.alias("probability"))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``ml_label`` (1 when the phishing probability exceeds one half) and ``ml``."""
@@ -103,41 +106,54 @@ class CertificateModel:
                    meta["vocabulary"], issuers)
 
 
+def _train_numbers(rows: DataFrame, frequencies: DataFrame | None, config: RiskConfig) -> CertificateModel:
+    """A logistic model on the scaled numbers alone, solved to the optimum; the text is never read."""
+    scaling = numeric_scaling(rows)
+    scaled = [f"z_{x}" for x in NUMERIC]
+    table = staged(scaling.transform(rows).select("y_true", *scaled), "training-numbers")
+    found = fit_logistic(table, scaled, "y_true", 1.0, config.max_iter)
+    score = " + ".join([f"{found.intercept!r}D", *[f"{z} * {w!r}D" for z, w in zip(scaled, found.coefficients)]])
+    scored = SQLTransformer(statement="SELECT *, array(1 - _p, _p) AS probability FROM "
+                                      f"(SELECT *, 1 / (1 + exp(-({score}))) AS _p FROM __THIS__)")
+    return CertificateModel(PipelineModel([scaling, scored]), config.model_type, [], frequencies)
+
+
 def train(
     df: DataFrame, frequencies: DataFrame | None = None, config: RiskConfig = DEFAULT,
 ) -> CertificateModel:
     """Fit on rows with ``raw_text``, ``features`` and ``y_true`` (rows without a label are left out).
 
-    Text: term counts of the most frequent 1- to 3-grams, scaled by smoothed
+    Text: term counts of the most frequent 1- to 3-grams (ties by term), scaled by smoothed
     inverse document frequency plus one, to unit length. Numbers: standardised.
-    Both stay one sparse vector.
+    Both stay one sparse vector. The text is tokenised twice, for the vocabulary and for the vectors.
+    The model type "numbers" leaves the text out.
     """
     if config.model_type not in MODEL_TYPES:
         raise ValueError(f"unknown model type: {config.model_type}")
     rows = model_input(df.filter("y_true IS NOT NULL"), "y_true")
-    classes = {r["y_true"]: r["n"] for r in
-               rows.groupBy("y_true").agg(F.count("*").alias("n")).collect()}
-    if set(classes) != {0, 1}:
-        raise ValueError(f"training needs rows of both classes, got {sorted(classes)}")
-    n = sum(classes.values())
-
-    stages: list = term_stages()
-    terms = with_terms(rows)
-    counts = CountVectorizer(
-        inputCol="x_terms", outputCol="x_counts", vocabSize=config.tfidf_terms,
-        minDF=config.tfidf_min_df, maxDF=config.tfidf_max_df).fit(terms)
-    idf = IDF(inputCol="x_counts", outputCol="x_unused").fit(counts.transform(terms)).idf
+    weights = class_weights(rows, "y_true")
+    if config.model_type == "numbers":
+        return _train_numbers(rows, frequencies, config)
+    n = rows.count()
+    words = vocabulary(term_stats(with_terms(rows), "x_terms"), n, config.tfidf_terms, config.tfidf_min_df,
+                       config.tfidf_max_df)
+    # At most ``tfidf_terms`` rows.
+    chosen = words.select("term", "idf").orderBy("position").collect()
+    if not chosen:
+        raise ValueError("no term is frequent enough and none too frequent")
+    counts = CountVectorizerModel.from_vocabulary(
+        [r["term"] for r in chosen], inputCol="x_terms", outputCol="x_counts")
     scaling = numeric_scaling(rows)
-    stages += [
+    stages = term_stages() + [
         counts,
         ElementwiseProduct(inputCol="x_counts", outputCol="x_weighted",
-                           scalingVec=Vectors.dense(idf.toArray() + 1.0)),
+                           scalingVec=Vectors.dense([r["idf"] for r in chosen])),
         Normalizer(inputCol="x_weighted", outputCol="x_tfidf", p=2.0),
         scaling,
         VectorAssembler(inputCols=[f"z_{x}" for x in NUMERIC] + ["x_tfidf"], outputCol="features_vector"),
     ]
     prepared = PipelineModel(stages).transform(rows)
-    weight = F.when(F.col("y_true") == 1, n / (2.0 * classes[1])).otherwise(n / (2.0 * classes[0]))
+    weight = F.when(F.col("y_true") == 1, weights[1]).otherwise(weights[0])
     # The solver reads the vectors many times; a staged table spares it the text.
     vectors = staged(prepared.select(
         F.col("y_true").cast("double").alias("y_true"), weight.alias("class_weight"),
@@ -149,8 +165,8 @@ def train(
             maxIter=config.max_iter, regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
     else:
         estimator = GBTClassifier(
-            featuresCol="features_vector", labelCol="y_true", maxIter=50, maxDepth=5,
-            seed=config.seed)
+            featuresCol="features_vector", labelCol="y_true", maxIter=config.boost_rounds,
+            maxDepth=config.boost_depth, seed=config.seed)
     fitted = estimator.fit(vectors)
     return CertificateModel(
-        PipelineModel([*stages, fitted]), config.model_type, list(counts.vocabulary), frequencies)
+        PipelineModel([*stages, fitted]), config.model_type, [r["term"] for r in chosen], frequencies)

@@ -142,6 +142,70 @@ f AS (
 
 _WORDS = r"regexp_extract_all(lower(strip_accents(lower(text))), '[\p{L}\p{N}_]{2,}')"
 
+_GRAMS = f"""d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (
+  SELECT doc_id, unnest(w) AS term FROM d
+  UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM d
+  UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w) - 1),
+    lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) FROM d),
+counted AS (SELECT doc_id, term, count(*) AS n FROM g GROUP BY ALL),
+total AS (SELECT count(*) AS documents FROM documents),
+stats AS (
+  SELECT term, sum(n)::BIGINT AS occurrences, count(*) AS documents FROM counted GROUP BY term),
+top AS (
+  SELECT stats.*, row_number() OVER (ORDER BY occurrences DESC, term) - 1 AS position,
+    ln((1 + total.documents) / (1 + stats.documents)) + 1 AS idf
+  FROM stats, total WHERE stats.documents BETWEEN 2 AND 0.9 * total.documents
+  QUALIFY position < 300)"""
+
+# Numbers of the small model, scaled, and their fit: Newton steps in a recursive query. Each step sums the
+# gradient and the second derivatives over distinct rows and eliminates one unknown after the other.
+_NUMBERS = ("v", "b", "chain", "puny::INT", "similarity", "self_signed::INT", "has_link::INT", "n_words", "issuer_frequency")
+_NAMES = ("validity_days", "pubkey_bits", "chain_length", "subject_has_punycode", "max_brand_similarity",
+          "is_self_signed", "has_url", "suspicious_keyword_count", "issuer_frequency")
+_N = len(_NUMBERS) + 1
+
+
+def _scaled(x: str) -> str:
+    return f"(({x})::DOUBLE - avg(({x})::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop(({x})::DOUBLE) OVER (), 0), 1)"
+
+
+def _newton_step() -> str:
+    xs = ["1.0::DOUBLE", *[f"x{i}" for i in range(1, _N)]]
+    ws = [f"w{i}" for i in range(_N)]
+    score = " + ".join(f"{w} * {x}" for w, x in zip(ws, xs))
+    cells = [(i, j) for i in range(_N) for j in range(i, _N)]
+    sums = [f"sum(c * (p - y) * {xs[i]}) + {'0' if not i else ws[i]} AS g{i}" for i in range(_N)]
+    sums += [f"sum(c * p * (1 - p) * {xs[i]} * {xs[j]}) + {1 if i == j and i else 0} AS h{i}_{j}" for i, j in cells]
+    carried = ["step", *ws]
+    sql = (f"SELECT {', '.join(carried + sums)} FROM (SELECT fit.*, x.*, 1 / (1 + exp(-({score}))) AS p "
+           f"FROM fit, x WHERE step < 12) GROUP BY {', '.join(carried)}")
+    for k in range(_N - 1):  # eliminate unknown k from the rows below
+        new = [f"g{i} - h{k}_{i} / h{k}_{k} * g{k} AS g{i}" if i > k else f"g{i}" for i in range(_N)]
+        new += [f"h{i}_{j} - h{k}_{i} / h{k}_{k} * h{k}_{j} AS h{i}_{j}" if i > k else f"h{i}_{j}" for i, j in cells]
+        sql = f"SELECT {', '.join(carried + new)} FROM ({sql})"
+    rest = [f"g{i}" for i in range(_N)] + [f"h{i}_{j}" for i, j in cells]
+    for k in range(_N - 1, -1, -1):  # and put the solved ones in
+        known = "".join(f" - h{k}_{j} * d{j}" for j in range(k + 1, _N))
+        solved = [f"d{j}" for j in range(k + 1, _N)]
+        sql = f"SELECT {', '.join(carried + rest + solved)}, (g{k}{known}) / h{k}_{k} AS d{k} FROM ({sql})"
+    return f"SELECT step + 1, {', '.join(f'w{i} - d{i}' for i in range(_N))} FROM ({sql})"
+
+
+SCALED = f"""{FEATURES},
+z AS MATERIALIZED (
+  SELECT k, CASE WHEN label = 'phishing' THEN 1 ELSE 0 END AS y, {", ".join(f"{_scaled(x)} AS x{i}" for i, x in enumerate(_NUMBERS, 1))}
+  FROM feat)"""
+FIT = f"""{SCALED},
+x AS MATERIALIZED (
+  SELECT y, {", ".join(f"x{i}" for i in range(1, _N))},
+    n * sum(n) OVER () / (2.0::DOUBLE * sum(n) OVER (PARTITION BY y)) AS c
+  FROM (SELECT * EXCLUDE (k), count(*) AS n FROM z GROUP BY ALL)),
+fit AS (
+  SELECT 0 AS step, {", ".join(f"0.0::DOUBLE AS w{i}" for i in range(_N))}
+  UNION ALL {_newton_step()}),
+last AS (SELECT * FROM fit WHERE step = 12)"""
+
 ORACLES: dict[str, str] = {
     "verdict_summary": f"""WITH {RULED}, f AS (
   SELECT 0.25::DOUBLE * rule_score + 0.35::DOUBLE * 0.5 + 0.4::DOUBLE * 0.5 AS s FROM ruled)
@@ -382,6 +446,19 @@ g AS (
 t AS (SELECT words, term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY ALL HAVING docs >= 2)
 SELECT words::BIGINT AS words, count(*) AS terms, sum(n)::BIGINT AS occurrences, max(docs) AS max_documents
 FROM t GROUP BY words""",
+    "top_terms": f"""WITH {_GRAMS}
+SELECT position, term, occurrences, documents, round(idf, 6) AS idf FROM top""",
+    "tfidf_weights": f"""WITH {_GRAMS}
+SELECT doc_id, term, n, round(n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc_id)), 6) AS weight
+FROM counted JOIN top USING (term)""",
+    "scaled_numbers": f"""WITH {SCALED}
+SELECT k, {", ".join(f"round(x{i}, 6) AS {name}" for i, name in enumerate(_NAMES, 1))} FROM z""",
+    "logistic_fit": f"""WITH RECURSIVE {FIT}
+SELECT unnest({_list(("intercept", *_NAMES))}) AS feature, round(unnest([{", ".join(f"w{i}" for i in range(_N))}]), 6) AS coefficient,
+  (SELECT count(*) FROM z) AS samples, (SELECT sum(y)::BIGINT FROM z) AS positive_samples FROM last""",
+    "predicted_labels": f"""WITH RECURSIVE {FIT},
+p AS (SELECT k, 1 / (1 + exp(-(w0 + {" + ".join(f"w{i} * x{i}" for i in range(1, _N))}))) AS p FROM z, last)
+SELECT k, round(p, 6) AS probability, (p > 0.5)::BIGINT AS label FROM p""",
     "similar_vectors": """WITH m AS (
   SELECT label, i, avg(x) AS m FROM (
     SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)

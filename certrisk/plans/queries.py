@@ -16,11 +16,13 @@ from certrisk.operators import metrics as mt
 from certrisk.operators import prompting
 from certrisk.operators.ensemble import LLM_TYPE, ML_TYPE, add_verdict, count_at_threshold, llm_score
 from certrisk.operators.issuers import add_issuer_frequency, fit_issuer_frequencies
-from certrisk.operators.model import train, with_terms
+from certrisk.operators.logistic import LogisticFit, fit_logistic
+from certrisk.operators.model import numeric_scaling, train, with_terms
 from certrisk.operators.parse import parse
 from certrisk.operators.rules import add_rules, rule_hits
 from certrisk.operators.sampling import sample_per_class, split_name
 from certrisk.operators.similar import similar_top_k
+from certrisk.operators.vocabulary import term_stats, tfidf_weights as weigh, vocabulary
 from certrisk.plans import jobs
 from certrisk.session import new_path, staged
 from certrisk.sources.captures import file_type, load_dataset
@@ -570,31 +572,80 @@ def document_terms(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", strip_accents(F.lower("text")).alias("x_text")))
 
 
-def term_table(terms: DataFrame, column: str) -> DataFrame:
-    """Occurrences and documents per term; both counted in one shuffle of partial sums."""
-    t = F.col(column)
-    counted = F.concat(
-        F.transform(t, lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("docs"))),
-        F.transform(F.array_distinct(t), lambda w: F.struct(
-            w.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("docs"))))
-    return terms.select(F.inline(counted)).groupBy("term").agg(
-        F.sum("n").alias("occurrences"), F.sum("docs").alias("documents"))
-
-
 @query
 def term_counts(spark: SparkSession, d: str) -> DataFrame:
-    return term_table(document_terms(spark, d), "x_words")
+    return term_stats(document_terms(spark, d), "x_words")
 
 
 @query
 def ngram_stats(spark: SparkSession, d: str) -> DataFrame:
     """Vocabulary candidates by n-gram length: terms of two or more documents."""
-    rows = term_table(document_terms(spark, d), "x_terms").filter("documents >= 2")
+    rows = term_stats(document_terms(spark, d), "x_terms").filter("documents >= 2")
     return rows.groupBy(F.size(F.split("term", " ")).cast("bigint").alias("words")).agg(
         F.count("*").alias("terms"), F.sum("occurrences").alias("occurrences"),
         F.max("documents").alias("max_documents"))
 
 
+@query
+def top_terms(spark: SparkSession, d: str) -> DataFrame:
+    """The 300 terms most frequent in documents of one to three words, where many are equally frequent."""
+    rows = document_terms(spark, d)
+    return vocabulary(term_stats(rows, "x_terms"), rows.count(), 300, 2.0, 0.9).select(
+        F.col("position").cast("bigint").alias("position"), "term", "occurrences", "documents", r6("idf").alias("idf"))
+
+
+@query
+def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Weight of every vocabulary term in every document that holds it."""
+    rows = document_terms(spark, d)
+    words = vocabulary(term_stats(rows, "x_terms"), rows.count(), 300, 2.0, 0.9)
+    return weigh(rows, "doc_id", "x_terms", words).select("doc_id", "term", "n", r6("weight").alias("weight"))
+
+
+#: Numbers of the small model, which the SQL knows without parsing.
+FITTED = ("validity_days", "pubkey_bits", "chain_length", "subject_has_punycode", "max_brand_similarity",
+          "is_self_signed", "has_url", "suspicious_keyword_count", "issuer_frequency")
+
+
+def numbered_dumps(spark: SparkSession, d: str) -> DataFrame:
+    """``k, y`` and the scaled numbers of every capture, staged."""
+    parsed = parsed_dumps(spark, d)
+    rows = ft.add_features(parsed, fit_issuer_frequencies(parsed), keep_text=False).select(
+        "k", F.when(F.col("label") == "phishing", 1).otherwise(0).alias("y"),
+        *[F.coalesce(F.col(f"features.{n}"), F.lit(0)).cast("double").alias(n) for n in FITTED])
+    rows = staged(rows, "numbers")
+    return staged(numeric_scaling(rows, FITTED).transform(rows).select(
+        "k", "y", *[F.col(f"z_{n}").alias(n) for n in FITTED]), "scaled-numbers")
+
+
+def fitted_dumps(spark: SparkSession, d: str) -> tuple[DataFrame, LogisticFit]:
+    rows = numbered_dumps(spark, d)
+    return rows, fit_logistic(rows, list(FITTED), "y")
+
+
+@query
+def scaled_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return numbered_dumps(spark, d).select("k", *[r6(n).alias(n) for n in FITTED])
+
+
+@query
+def logistic_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Intercept and coefficients of the balanced, penalised model at its optimum."""
+    rows, found = fitted_dumps(spark, d)
+    names = F.array(F.lit("intercept"), *map(F.lit, found.columns))
+    weights = F.array(*[F.lit(w) for w in (found.intercept, *found.coefficients)])
+    total = rows.agg(F.count("*").alias("samples"), F.sum("y").alias("positive_samples"))
+    return total.select(F.inline(F.arrays_zip(names.alias("feature"), weights.alias("coefficient"))),
+                        "samples", "positive_samples").withColumn("coefficient", r6("coefficient"))
+
+
+@query
+def predicted_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows, found = fitted_dumps(spark, d)
+    return rows.withColumn("p", found.probability()).select(
+        "k", r6("p").alias("probability"), (F.col("p") > 0.5).cast("bigint").alias("label"))
+
+
 @query
 def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
     """Classifier on labelled documents; its metrics on the rows it was fitted on."""
@@ -610,7 +661,7 @@ def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
         none.alias("signature_algorithm"), F.col("text").alias("raw_text"), F.lit(0).alias("chain_length"),
         empty.alias("parse_warnings"), F.col("toxic").alias("y_true"))
     rows = staged(ft.add_features(raw), "training-rows")
-    model = train(rows, config=RiskConfig(max_iter=50))
+    model = train(rows)
     predicted = staged(mt.scored(
         model.predict(rows), F.col("y_true"), F.col("ml_label"), F.col("ml.score")), "predicted")
     return mt.calculate_metrics(predicted).select(

@@ -23,10 +23,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certrisk.operators.lookup import broadcast_if_small
+from certrisk.operators.ranking import numbered
 from certrisk.session import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,22 +39,6 @@ def n_words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(rows: DataFrame, by: str, order: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Number rows within ``by`` along ``order`` without a sort of a whole group in one task.
-
-    Returns the rows with ``part`` (a range) and ``place``, and for each (``by``, ``part``) the ``shift`` that, added
-    to ``place``, gives the number from 0. ``order`` must end with a unique column.
-    """
-    group = F.col(by).asc_nulls_last()
-    placed = staged(
-        rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-        .withColumn("place", F.monotonically_increasing_id())
-        .withColumn("part", F.shiftright("place", 33)).select(by, *keep, "part", "place"), "numbered")
-    counts = placed.groupBy(by, "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = F.sum("n").over(Window.partitionBy(by).orderBy("part")) - F.col("n")
-    return placed, staged(counts.select(by, "part", (before - F.col("first")).alias("shift")), "number-shifts")
-
-
 def targets(sizes: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
     """``source, source_size, target, up, down``: the target of each source, and expected copies as a fraction.
 

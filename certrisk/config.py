@@ -33,6 +33,8 @@ class RiskConfig:
     max_iter: int = 1000
     boost_rounds: int = 100
     boost_depth: int = 6
+    # reading
+    max_capture_bytes: int = 64 << 20
     # sampling
     train_fraction: float = 0.70
     validation_fraction: float = 0.15

@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from certrisk.config import DEFAULT, RiskConfig
 from certrisk.functions.names import sorted_entries
 from certrisk.operators.ensemble import LLM_TYPE
 from certrisk.operators.lookup import lookup
-from certrisk.session import staged
+from certrisk.session import new_path, staged
 
 SUMMARY_FIELDS = (
     "file_name", "subject", "issuer", "san", "not_before", "not_after", "validity_days",
@@ -84,12 +85,12 @@ def build_prompt(
     """Prompt of a summary struct: instructions, examples when wanted, the certificate."""
     shown = ""
     if include_context:
-        shown = "\n\nEXAMPLES:" + "".join(
-            f"\n\nINPUT:\n{json.dumps(a)}\nOUTPUT:\n{json.dumps(b)}" for a, b in examples)
+        shown = "\n\nAlready judged:" + "".join(
+            f"\n\n{json.dumps(a)}\n=> {json.dumps(b)}" for a, b in examples)
     return F.concat(
         F.lit(f"{system_text}{shown}\n\nNow judge this certificate:\n"),
         F.to_json(cert, {"ignoreNullFields": "false"}),
-        F.lit("\n\nRespond with JSON only:"))
+        F.lit("\n\nThe verdict as JSON, nothing else:"))
 
 
 def cache_key() -> Column:
@@ -212,39 +213,72 @@ def neutral_where_failed(df: DataFrame, config: RiskConfig = DEFAULT) -> DataFra
     return df.withColumn("llm", F.when(F.col("error").isNotNull(), neutral).otherwise(F.col("llm")))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+RESPONSES = "cache_key string, model string, raw_response string, error string"
 
 
-RESPONSES = "cache_key string, model string, raw_response string, error string"
+def stored_answers(spark: SparkSession, path: str) -> DataFrame:
+    """Answers kept under ``path``; none if there is nothing yet."""
+    try:
+        return spark.read.schema(RESPONSES).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], RESPONSES)
+        raise
+
+
+def one_per_key(answers: DataFrame) -> DataFrame:
+    """Of several answers to one key a successful one, the same in every run; copies are folded before the shuffle."""
+    best = F.min(F.struct(F.col("error").isNotNull().alias("failed"), "raw_response", "model", "error"))
+    return answers.groupBy("cache_key").agg(best.alias("_a")).select("cache_key", "_a.model", "_a.raw_response", "_a.error")
+
+
+def ask_in_waves(
+    distinct: DataFrame, scorer: Callable[[str], str], path: str, model: str = "unknown",
+    include_context: bool = True, config: RiskConfig = DEFAULT, pause: float = 1.0, concurrency: int | None = None,
+    wave_rows: int = 10_000, retry_failed: bool = False,
+) -> int:
+    """Answer every key of ``distinct`` (``cache_key, cert``, staged) that has none under ``path``, and return the number of waves.
+
+    Keys are dealt to waves of about ``wave_rows`` by hash, and the answers of a wave are committed before the next is asked. A job
+    that dies and is run again asks only for keys without a committed answer, so at most one wave is paid for twice.
+    ``retry_failed`` asks again where only failures are kept.
+    """
+    spark = distinct.sparkSession
+    known = stored_answers(spark, path)
+    if retry_failed:
+        known = known.filter("error IS NULL")
+    todo = staged(distinct.join(known.select("cache_key"), "cache_key", "left_anti"), "unanswered")
+    waves = -(-todo.count() // wave_rows)
+    wave = F.pmod(F.xxhash64("cache_key"), F.lit(waves))
+    for k in range(waves):
+        prompts = todo.filter(wave == k).select(
+            "cache_key", build_prompt(F.col("cert"), include_context).alias("prompt"))
+        ask_model(prompts, scorer, model, config, pause, concurrency).write.mode("append").parquet(path)
+    return waves
 
 
 def add_llm(
     df: DataFrame, scorer: Callable[[str], str] | None, responses_path: str | None = None,
     model: str = "unknown", include_context: bool = True, config: RiskConfig = DEFAULT,
     pause: float = 1.0, concurrency: int | None = None, source: DataFrame | None = None,
+    wave_rows: int = 10_000, retry_failed: bool = False,
 ) -> DataFrame:
     """Add the ``llm`` verdict; without a scorer it is NULL.
 
     ``source`` holds the same certificates with the fields a prompt shows, so that ``df``
     itself need not carry the capture text. Answers found under ``responses_path`` are used again, failures included, and
-    new ones are added there.
+    new ones are added there, wave by wave; without it they go to the shared work folder, so that a stage that is run again
+    reads them and does not ask.
     """
     if scorer is None:
         return df.withColumn("llm", F.lit(None).cast(LLM_TYPE))
     spark = df.sparkSession
     distinct = staged(distinct_certificates(df if source is None else source, config), "distinct-certificates")
-    todo = distinct
-    if responses_path and _exists(spark, responses_path):
-        known = spark.read.schema(RESPONSES).parquet(responses_path)
-        todo = distinct.join(known.select("cache_key"), "cache_key", "left_anti")
-    prompts = todo.select("cache_key", build_prompt(F.col("cert"), include_context).alias("prompt"))
-    answers = ask_model(prompts, scorer, model, config, pause, concurrency)
-    if responses_path:
-        answers.write.mode("append").parquet(responses_path)
-        answers = spark.read.schema(RESPONSES).parquet(responses_path)
-    parsed = neutral_where_failed(parse_responses(answers), config).select("cache_key", "llm")
+    path = responses_path or new_path(spark, "answers")
+    ask_in_waves(distinct, scorer, path, model, include_context, config, pause, concurrency, wave_rows, retry_failed)
+    # Of all that was ever answered, only what this table asks about is parsed.
+    own = stored_answers(spark, path).join(distinct.select("cache_key"), "cache_key", "left_semi")
+    parsed = neutral_where_failed(parse_responses(one_per_key(own)), config).select("cache_key", "llm")
     table = staged(
         distinct.select("cache_key", "n_copies").join(parsed, "cache_key"), "verdicts")
     keyed = df.withColumn("cache_key", cache_key())
@@ -252,10 +286,8 @@ def add_llm(
 
 
 def cache_stats(spark: SparkSession, responses_path: str) -> dict[str, int]:
-    if not _exists(spark, responses_path):
-        return {"size": 0, "failures": 0}
-    row = spark.read.schema(RESPONSES).parquet(responses_path).agg(
-        F.count("*"), F.count("error")).first()
+    """Distinct keys with an answer, and those of them that only failed."""
+    row = one_per_key(stored_answers(spark, responses_path)).agg(F.count("*"), F.count("error")).first()
     return {"size": row[0], "failures": row[1]}
 
 

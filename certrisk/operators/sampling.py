@@ -18,9 +18,11 @@ def sample_per_class(df: DataFrame, by: str, key: str, n: int, seed: int = 42) -
 
     A plain rank per class would sort a whole class in one task. Here the hashes
     are counted by their first four digits, which tells for each class the digit
-    group holding the n-th row; only rows of that group, about one in 65,536,
-    are ranked.
+    group holding the n-th row. Groups before it are taken as they are; only rows of that group,
+    about one in 65,536, are ranked.
     """
+    if n <= 0:
+        return df.limit(0)
     rows = df.withColumn("_h", _digest(key, seed)).withColumn("_g", F.substring("_h", 1, 4))
     groups = rows.groupBy(by, "_g").agg(F.count("*").alias("_n"))
     running = F.sum("_n").over(Window.partitionBy(by).orderBy("_g"))
@@ -30,12 +32,10 @@ def sample_per_class(df: DataFrame, by: str, key: str, n: int, seed: int = 42) -
                    (n - (F.col("_sum") - F.col("_n"))).alias("_left")))
     cut = broadcast_if_small(staged(cut, "sample-cut"))
     joined = rows.join(cut, F.col(by).eqNullSafe(F.col("_by")), "left")
-    reached = joined.filter(F.col("_cut").isNull() | (F.col("_g") <= F.col("_cut")))
+    before = joined.filter(F.col("_cut").isNull() | (F.col("_g") < F.col("_cut")))
     rank = F.row_number().over(Window.partitionBy(by, "_g").orderBy("_h", key))
-    return (reached.withColumn("_rank", rank)
-            .filter(F.col("_cut").isNull() | (F.col("_g") < F.col("_cut"))
-                    | (F.col("_rank") <= F.col("_left")))
-            .select(*df.columns))
+    last = joined.filter(F.col("_g") == F.col("_cut")).withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left"))
+    return before.select(*df.columns).unionByName(last.select(*df.columns))
 
 
 def hash_unit(key: str, seed: int = 42) -> Column:

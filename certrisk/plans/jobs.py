@@ -19,15 +19,16 @@ from certrisk.operators.parse import parse
 from certrisk.operators.prompting import add_llm
 from certrisk.operators.rules import Rule, add_rules
 from certrisk.session import staged
-from certrisk.sources.captures import load_dataset, load_directory, load_single_file
+from certrisk.sources.captures import (
+    ERROR, CaptureFiles, capture_dataset, capture_directory, list_all, load_single_file, read_all, unread)
 from certrisk.sources.records import read_parsed, write_json, write_jsonl, write_parsed
 
-PARSED, ISSUERS = "certificates", "issuers"
+PARSED, ISSUERS, QUARANTINE = "certificates", "issuers", "quarantine"
 
 
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readable captures, and those whose content could not be read."""
-    bad = F.col("file_type") == "error"
+    bad = F.col("file_type") == ERROR
     return raw.filter(~bad), raw.filter(bad)
 
 
@@ -48,11 +49,15 @@ def preprocess(
 ) -> DataFrame:
     """Parse ``benign/`` and ``phishing/``, fit the issuer table, write both and the features.
 
+    Files that are too long or cannot be read are listed, with the reason, beside them.
     Returns the number of certificates per class.
     """
-    raw = load_dataset(spark, input_dir, sample_size, seed=config.seed)
+    chosen = capture_dataset(spark, input_dir, sample_size, seed=config.seed)
+    raw, _ = quarantine(read_all(spark, chosen, config.max_capture_bytes))
     # The issuer table needs every row before the first feature row can be finished.
     parsed = staged(redact_certificates(parse(raw), config.redact_pii), "parsed")
+    bad = unread(list_all(spark, chosen), parsed, config.max_capture_bytes)
+    write_jsonl(bad.select("path", "file_name", "label", "length", "reason"), f"{output_dir}/{QUARANTINE}")
     frequencies = fit_issuer_frequencies(parsed, f"{output_dir}/{ISSUERS}")
     write_parsed(add_features(parsed, frequencies, config), f"{output_dir}/{PARSED}")
     return read_parsed(spark, f"{output_dir}/{PARSED}").groupBy("label").agg(
@@ -122,19 +127,25 @@ def batch_infer(
 ) -> DataFrame:
     """Score a directory into JSON lines and return the two counts.
 
-    Captures that could not be read go to ``status=error`` beside ``status=ok``, in the
-    same pass. ``only_hits`` writes the detections at or above the threshold alone.
+    Captures that could not be read go to ``status=error`` beside ``status=ok``, scored by the rules alone.
+    ``only_hits`` writes the detections at or above the threshold alone.
     """
-    found = detect(load_directory(spark, input_dir), keep=("file_type",), **options)
-    found = found.withColumn(
-        "status", F.when(F.col("file_type") == "error", "error").otherwise("ok")).drop("file_type")
+    chosen: CaptureFiles = capture_directory(spark, input_dir)
+    config = options.get("config", DEFAULT)
+    raw, _ = quarantine(chosen.read(spark, config.max_capture_bytes))
     out = f"{output_dir}/detections"
+    found = detect(raw, **options).withColumn("status", F.lit("ok"))
     if only_hits:
         found = staged(found, "detections")
-        written = found.filter((F.col("final_score") >= threshold) | (F.col("status") == "error"))
+        write_jsonl(found.filter(F.col("final_score") >= threshold), out, partition_by="status")
     else:
-        written = found
-    write_jsonl(written, out, partition_by="status")
-    if not only_hits:
-        found = spark.read.schema("final_score double, status string").json(out)
-    return count_at_threshold(found.filter("status = 'ok'"), threshold)
+        write_jsonl(found, out, partition_by="status")
+        found = spark.read.schema("path string, final_score double, status string").json(out).filter("status = 'ok'")
+    counts = staged(count_at_threshold(found, threshold), "counts")
+    listing = chosen.listing(spark)
+    # Paths are compared only where some are missing.
+    if listing.count() > counts.first()["processed"]:
+        bad = unread(listing, found, config.max_capture_bytes).drop("length", "reason")
+        failed = detect(bad, rules=options.get("rules"), config=config).withColumn("status", F.lit(ERROR))
+        write_jsonl(failed, out, "append", partition_by="status")
+    return counts

@@ -206,6 +206,11 @@ fit AS (
   UNION ALL {_newton_step()}),
 last AS (SELECT * FROM fit WHERE step = 12)"""
 
+# Files with a link are too long; of the others every seventh is unreadable.
+OUTCOMES = f"""{SUPPLIER_SCORES},
+o AS (
+  SELECT *, CASE WHEN has_link THEN 'longer than 215 bytes' WHEN k % 7 = 3 THEN 'unreadable' ELSE 'parsed' END AS outcome FROM f)"""
+
 ORACLES: dict[str, str] = {
     "verdict_summary": f"""WITH {RULED}, f AS (
   SELECT 0.25::DOUBLE * rule_score + 0.35::DOUBLE * 0.5 + 0.4::DOUBLE * 0.5 AS s FROM ruled)
@@ -237,6 +242,14 @@ FROM s""",
     "jobs_preprocess": f"""WITH {SUPPLIERS}
 SELECT cn, label, v::INT AS validity_days, has_link::INT AS has_url,
   round(count(*) OVER (PARTITION BY ca) / count(*) OVER (), 6) AS issuer_frequency FROM s""",
+    "unreadable_files": f"""WITH {OUTCOMES}
+SELECT label, outcome, CASE WHEN outcome = 'parsed' THEN cn ELSE '' END AS cn, count(*) AS files FROM o GROUP BY ALL""",
+    "infer_with_errors": f"""WITH {OUTCOMES}
+SELECT CASE WHEN outcome = 'parsed' THEN 'ok' ELSE 'error' END AS status, CASE WHEN outcome = 'parsed' THEN cn ELSE '' END AS cn,
+  count(*) AS files, round(avg(CASE WHEN outcome = 'parsed' THEN final_score ELSE {{errors}} END), 6) AS final_score
+FROM o GROUP BY ALL""".replace(
+        # A file without content has neither a chain nor alternative names.
+        "{errors}", f"0.25::DOUBLE * ({' + '.join(str(w) for n, w, *_ in k.RULE_TABLE if n in ('missing_chain', 'no_san'))}) / 2 + 0.375"),
     "jobs_batch_infer": f"""WITH {SUPPLIER_SCORES}
 SELECT cn, CASE WHEN final_score >= 0.5 THEN 'phishing' ELSE 'benign' END AS label,
   round(final_score, 6) AS final_score, 'medium' AS confidence FROM f""",
@@ -435,6 +448,13 @@ FROM props GROUP BY ALL""",
     "response_scoring": f"""WITH {PROPS}
 SELECT k, CASE WHEN ca = 'DigiCert Inc' THEN 'benign' ELSE 'phishing' END AS label, 'stand-in' AS model,
   CASE WHEN ca = 'DigiCert Inc' THEN 0.25 ELSE 0.75 END::DOUBLE AS score FROM props""",
+    "response_resume": f"""WITH {PROPS}
+SELECT k, CASE WHEN n_name < 'B' THEN 'phishing' WHEN n_name < 'E' THEN 'unknown' WHEN n_name < 'K' THEN 'benign'
+    WHEN ca = 'DigiCert Inc' THEN 'benign' ELSE 'phishing' END AS label,
+  CASE WHEN n_name < 'B' THEN 'later' WHEN n_name < 'E' THEN NULL WHEN n_name < 'K' THEN 'earlier' ELSE 'stand-in' END AS model,
+  CASE WHEN n_name >= 'B' AND n_name < 'E' THEN 'down' END AS error,
+  CASE WHEN n_name < 'B' THEN 1 WHEN n_name < 'K' THEN 0.5 WHEN ca = 'DigiCert Inc' THEN 0.25 ELSE 0.75 END::DOUBLE AS score
+FROM props""",
     "term_counts": f"""WITH w AS (SELECT doc_id, unnest({_WORDS}) AS term FROM documents)
 SELECT term, count(*) AS occurrences, count(DISTINCT doc_id) AS documents FROM w GROUP BY term""",
     "ngram_stats": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),

@@ -26,7 +26,8 @@ from certrisk.operators.vocabulary import term_stats, tfidf_weights as weigh, vo
 from certrisk.plans import jobs
 from certrisk.session import new_path, staged
 from certrisk.sources.captures import file_type, load_dataset
-from certrisk.sources.derived import cert_ders, cert_dumps, properties, spread, table
+from certrisk.sources.derived import cert_ders, cert_dumps, properties, spoil, spread, table
+from certrisk.sources.records import read_jsonl
 from certrisk.streaming.watch import watch_directory
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +161,41 @@ def jobs_preprocess(spark: SparkSession, d: str) -> DataFrame:
         r6("features.issuer_frequency").alias("issuer_frequency"))
 
 
+#: Captures above this length, which are those with a link, count as too long here.
+SHORT = RiskConfig(max_capture_bytes=215)
+
+
+def spoiled_files(spark: SparkSession, d: str) -> str:
+    """The supplier captures, of which every seventh no longer fits its checksum."""
+    root = supplier_files(spark, d)
+    spoil(spark, root, F.regexp_extract("text", r"CN = supplier(\d+)", 1).cast("long") % 7 == 3)
+    return root
+
+
+@query
+def unreadable_files(spark: SparkSession, d: str) -> DataFrame:
+    """What became of every file of a folder with captures that are too long or cannot be read."""
+    out = new_path(spark, "preprocessed")
+    jobs.preprocess(spark, spoiled_files(spark, d), out, config=SHORT)
+    good = jobs.read_parsed(spark, f"{out}/{jobs.PARSED}").select(
+        "label", F.lit("parsed").alias("outcome"), F.col("subject")["CN"].alias("cn"))
+    bad = read_jsonl(spark, f"{out}/{jobs.QUARANTINE}", "label string, reason string").select(
+        "label", F.col("reason").alias("outcome"), F.lit("").alias("cn"))
+    return good.union(bad).groupBy("label", "outcome", "cn").agg(F.count("*").alias("files"))
+
+
+@query
+def infer_with_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Detections of the same folder: bad files are counted as errors and leave the others alone."""
+    out = new_path(spark, "inferred")
+    jobs.batch_infer(spark, spoiled_files(spark, d), out, config=SHORT)
+    found = spark.read.schema("certificate_details struct<subject_cn:string>, status string, final_score double").json(
+        f"{out}/detections")
+    cn = F.when(F.col("status") == "ok", F.col("certificate_details.subject_cn")).otherwise("")
+    return found.groupBy("status", cn.alias("cn")).agg(
+        F.count("*").alias("files"), r6(F.avg("final_score")).alias("final_score"))
+
+
 @query
 def jobs_batch_infer(spark: SparkSession, d: str) -> DataFrame:
     out = new_path(spark, "inferred")
@@ -483,7 +519,7 @@ def weight_search(spark: SparkSession, d: str) -> DataFrame:
 @query
 def prompt_build(spark: SparkSession, d: str) -> DataFrame:
     p = parsed_dumps(spark, d).withColumn("prompt", prompting.build_prompt(prompting.summary()))
-    shown = F.regexp_extract("prompt", r"(?s)certificate:\n(.*)\n\nRespond with JSON only:$", 1)
+    shown = F.regexp_extract("prompt", r"(?s)certificate:\n(.*)\n\nThe verdict as JSON, nothing else:$", 1)
 
     def field(path: str) -> Column:
         return F.get_json_object("shown", path)
@@ -492,7 +528,7 @@ def prompt_build(spark: SparkSession, d: str) -> DataFrame:
         "k", field("$.subject.CN").alias("cn"), field("$.issuer.CN").alias("issuer_cn"),
         field("$.validity_days").cast("bigint").alias("days"),
         field("$.pubkey_bits").cast("bigint").alias("bits"), field("$.file_name").alias("file_name"),
-        F.contains("prompt", F.lit("EXAMPLES:")).alias("has_examples"))
+        F.contains("prompt", F.lit("Already judged:")).alias("has_examples"))
 
 
 def answers(spark: SparkSession, d: str) -> DataFrame:
@@ -564,6 +600,25 @@ def response_scoring(spark: SparkSession, d: str) -> DataFrame:
                        r6(llm_score(F.col("llm"))).alias("score"))
 
 
+@query
+def response_resume(spark: SparkSession, d: str) -> DataFrame:
+    """Answers kept by earlier runs, some twice and some failed, are used; only the other keys are asked, in waves."""
+    path = new_path(spark, "answers")
+    rows = repeated_certificates(spark, d)
+    keys = prompting.distinct_certificates(rows).select("cache_key", F.col("cert.subject")["C"].alias("country"))
+    kept = keys.filter(F.col("country") < "K").select(
+        "cache_key", F.lit("earlier").alias("model"),
+        F.when(F.col("country") >= "E", F.lit('{"label": "benign", "confidence": 0.5}')).alias("raw_response"),
+        F.when(F.col("country") < "E", F.lit("down")).alias("error"))
+    again = keys.filter(F.col("country") < "B").select(
+        "cache_key", F.lit("later").alias("model"), F.lit('{"label": "phishing", "confidence": 1}').alias("raw_response"),
+        F.lit(None).cast("string").alias("error"))
+    kept.union(kept).union(again).write.parquet(path)
+    found = prompting.add_llm(rows, stand_in_model, path, model="stand-in", wave_rows=200)
+    return found.select("k", F.col("llm.label").alias("label"), F.col("llm.model").alias("model"),
+                        F.col("llm.error").alias("error"), r6(llm_score(F.col("llm"))).alias("score"))
+
+
 # --- classifier and retrieval
 
 

@@ -162,6 +162,24 @@ def cert_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label", F.lit("openssl_text").alias("file_type"), text.alias("text"), "k")
 
 
+def spoil(spark: SparkSession, root: str, chosen: Column) -> None:
+    """Add a byte to the files below ``root`` whose ``text`` is ``chosen``, behind the back of the checksums beside them.
+
+    Tasks write to the files themselves, which needs the checksums of a local file system.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+    def add(batches):
+        for batch in batches:
+            for path in batch["path"]:
+                with open(path.removeprefix("file:"), "ab") as file:
+                    file.write(b"!")
+            yield batch[["path"]]
+
+    rows = files.select("path", F.col("content").cast("string").alias("text")).filter(chosen).select("path")
+    rows.mapInPandas(add, "path string").count()
+
+
 def element(tag: int, *parts: bytes) -> bytes:
     body = b"".join(parts)
     size = len(body)

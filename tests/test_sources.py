@@ -87,6 +87,60 @@ def test_dataset_without_a_class(spark, tmp_path):
         load_dataset(spark, str(tmp_path / "benign"))
 
 
+def numbers_of_files(df):
+    """Files the scans of a plan really opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    found, open_plans = [], [plan]
+    while open_plans:
+        at = open_plans.pop()
+        if at.nodeName().startswith("Scan binaryFile"):
+            found.append(at.metrics().get("numFiles").get().value())
+        open_plans += [at.children().apply(i) for i in range(at.children().size())]
+    return sorted(found)
+
+
+def test_files_not_drawn_are_never_opened(spark, tree):
+    """One undrawn file is too long to be read at all; another is damaged. Neither matters to the sample."""
+    directory = str(tree / "benign")
+    chosen = captures.capture_directory(spark, directory, sample_size=2)
+    drawn = {r.path for r in chosen.listing(spark).collect()}
+    assert len(drawn) == 2
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        for name in (tree / "benign" / "deep").iterdir():
+            if f"file:{name}" not in drawn:
+                name.write_text("x" * 5_000)
+        rows = load_directory(spark, directory, sample_size=2, max_bytes=1 << 30)
+        assert {r.path for r in rows.collect()} == drawn
+        assert numbers_of_files(chosen.files(spark).select("content")) == [2]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert load_directory(spark, directory, sample_size=0).count() == 0
+    assert load_directory(spark, directory, sample_size=99).count() == 5
+
+
+def test_bad_files_become_rows(spark, tree):
+    long = tree / "benign" / "long"
+    long.write_text("subject=CN = long\n" * 50)
+    spark.createDataFrame([("damaged",)], "v string").coalesce(1).write.text(str(tree / "phishing" / "out"))
+    (bad,) = (tree / "phishing" / "out").glob("part-*")
+    with open(bad, "a") as f:
+        f.write("!")
+    chosen = captures.capture_dataset(spark, str(tree))
+    rows = captures.read_all(spark, chosen, 500).collect()
+    assert len(rows) == 11  # ten sound files and the long one
+    assert [(r.file_name, r.label, r.content, r.text) for r in rows if r.file_type == "error"] == [("long", "benign", None, "")]
+    sound = spark.createDataFrame([(r.path,) for r in rows if r.file_type != "error"], "path string")
+    left = captures.unread(captures.list_all(spark, chosen), sound, 500).collect()
+    assert sorted((r.file_name, r.label, r.file_type, r.reason) for r in left) == [
+        ("long", "benign", "error", "longer than 500 bytes"), (bad.name, "phishing", "error", "unreadable")]
+
+
+def test_exists(spark, tmp_path):
+    assert captures.exists(spark, str(tmp_path)) and not captures.exists(spark, str(tmp_path / "none"))
+
+
 def test_single_file(spark, tmp_path):
     (tmp_path / "cert").write_text("Test content")
     row = load_single_file(spark, str(tmp_path / "cert")).first()

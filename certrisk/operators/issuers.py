@@ -22,6 +22,11 @@ def fit_issuer_frequencies(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     keys = with_issuer_key(df.select("issuer")).select("issuer_key")
     counts = staged(keys.groupBy("issuer_key").agg(F.count("*").alias("issuer_n")), "issuer-counts")
+    return frequencies_of(counts, path)
+
+
+def frequencies_of(counts: DataFrame, path: str | None = None) -> DataFrame:
+    """The issuer table of staged counts ``issuer_key, issuer_n``."""
     total = counts.agg(F.sum("issuer_n")).first()[0]
     return staged(
         counts.withColumn("issuer_frequency", F.col("issuer_n") / F.lit(total or 1)),

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from certrisk import constants as k
 from certrisk.session import staged
 
-RANGES = 200
+#: Distinct scores of a range, and most ranges of a curve.
+RANGE_SCORES, MOST_RANGES = 20_000, 2_000
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -91,12 +92,13 @@ def score_curve(df: DataFrame, *by: str) -> DataFrame:
         df.filter(y.isNotNull() & F.col("score").isNotNull()).groupBy(*by, "score").agg(
             F.sum(y.cast("bigint")).alias("pos"), F.sum((1 - y).cast("bigint")).alias("neg")),
         "scores")
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = grouped.agg(F.percentile_approx("score", steps)).first()[0] or []
+    ranges = min(MOST_RANGES, 1 + grouped.count() // RANGE_SCORES)
+    steps = [i / ranges for i in range(1, ranges)]
+    cuts = (grouped.agg(F.percentile_approx("score", steps)).first()[0] or []) if steps else []
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
     ranged = grouped.withColumn(
         "_range", F.size(F.filter(bounds, lambda c: c > F.col("score"))))
-    # At most RANGES rows per group.
+    # One row per range and group.
     totals = ranged.groupBy(*by, "_range").agg(
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,15 +172,21 @@ def calculate_metrics(df: DataFrame) -> DataFrame:
 def compare_methods(
     df: DataFrame, scores: dict[str, Column], threshold: float = 0.5,
 ) -> DataFrame:
-    """Metrics of several scores of the same rows (rules, classifier, model, ensemble)."""
+    """Metrics of several scores of the same rows (rules, classifier, model, ensemble).
+
+    Rows without a score are counted as ``unscored`` and left out of the metrics; a method that scored nothing keeps its line.
+    """
     methods = F.array(*[
         F.struct(F.lit(name).alias("method"), c.cast("double").alias("score"))
         for name, c in scores.items()])
     long = df.select("y_true", F.inline(methods)).withColumn(
         "y_pred", (F.col("score") >= threshold).cast("int"))
     ranking = ranking_metrics(long, "method")
+    unscored = long.filter("y_true IS NOT NULL").groupBy("method").agg(
+        F.count(F.when(F.col("score").isNull(), 1)).alias("unscored"))
     # One row per method on either side.
-    return basic_metrics(long, "method").join(F.broadcast(ranking), "method")
+    return (basic_metrics(long, "method").join(F.broadcast(unscored), "method").join(F.broadcast(ranking), "method", "left")
+            .fillna(0.0, ["roc_auc", "pr_auc"]))
 
 
 def weight_search(
@@ -187,17 +195,26 @@ def weight_search(
 ) -> DataFrame:
     """F1 of every weight triple that adds up to one, on rows with ``y_true``.
 
-    The grid is a literal: each row adds to the counts of its grid points before
-    the shuffle, which then carries one row per point and task.
+    Rows with the same scores and label are counted first, so the grid is laid out over distinct scores
+    and not over rows. Each of these adds its count to its grid points before the second shuffle, which carries
+    one row per point and task.
     """
     n = round(1 / step)
-    grid = [(i / n, j / n, (n - i - j) / n) for i in range(n + 1) for j in range(n + 1 - i)]
-    points = F.array(*[
-        F.struct(F.lit(a).alias("w_rules"), F.lit(b).alias("w_ml"), F.lit(c).alias("w_llm"))
-        for a, b, c in grid])
-    rows = df.filter("y_true IS NOT NULL").select(
-        "y_true", rules.alias("_r"), ml.alias("_m"), llm.alias("_l"), F.inline(points))
-    score = F.round(F.col("w_rules") * F.col("_r") + F.col("w_ml") * F.col("_m")
-                    + F.col("w_llm") * F.col("_l"), 12)
-    rows = rows.withColumn("y_pred", (score >= threshold).cast("int"))
-    return basic_metrics(rows, "w_rules", "w_ml", "w_llm")
+    tuples = df.filter("y_true IS NOT NULL").groupBy(
+        "y_true", rules.alias("_r"), ml.alias("_m"), llm.alias("_l")).agg(F.count("*").alias("_count"))
+    # Few bytes and much work: not to be drawn together into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tuples = tuples.repartition(tasks, "_r", "_m", "_l", "y_true")
+    rows = tuples.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n)))).withColumn(
+        "_j", F.explode(F.sequence(F.lit(0), F.lit(n) - F.col("_i")))).withColumns({
+            "w_rules": F.col("_i") / n, "w_ml": F.col("_j") / n, "w_llm": (n - F.col("_i") - F.col("_j")) / n})
+    score = F.col("w_rules") * F.col("_r") + F.col("w_ml") * F.col("_m") + F.col("w_llm") * F.col("_l")
+    # The score at 12 digits against the threshold.
+    hit = score >= threshold - 5e-13
+
+    def count(t: int, p: Column) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("y_true") == t) & p, F.col("_count"))), F.lit(0))
+
+    return rates(rows.groupBy("w_rules", "w_ml", "w_llm").agg(
+        count(0, ~hit).alias("true_negatives"), count(0, hit).alias("false_positives"),
+        count(1, ~hit).alias("false_negatives"), count(1, hit).alias("true_positives")))

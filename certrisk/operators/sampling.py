@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from certrisk.config import DEFAULT
 from certrisk.operators.lookup import broadcast_if_small
 from certrisk.session import staged
 
@@ -43,7 +44,10 @@ def hash_unit(key: str, seed: int = 42) -> Column:
     return F.conv(F.substring(_digest(key, seed), 1, 8), 16, 10).cast("double") / float(2**32)
 
 
-def split_name(key: str, train: float = 0.70, validation: float = 0.15, seed: int = 42) -> Column:
+def split_name(
+    key: str, train: float = DEFAULT.train_fraction, validation: float = DEFAULT.validation_fraction,
+    seed: int = DEFAULT.seed,
+) -> Column:
     unit = hash_unit(key, seed)
     return (F.when(unit < train, "train")
             .when(unit < train + validation, "validation").otherwise("test"))

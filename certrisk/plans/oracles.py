@@ -250,6 +250,17 @@ SELECT CASE WHEN outcome = 'parsed' THEN 'ok' ELSE 'error' END AS status, CASE W
 FROM o GROUP BY ALL""".replace(
         # A file without content has neither a chain nor alternative names.
         "{errors}", f"0.25::DOUBLE * ({' + '.join(str(w) for n, w, *_ in k.RULE_TABLE if n in ('missing_chain', 'no_san'))}) / 2 + 0.375"),
+    "incremental_preprocess": """
+SELECT 0 AS run, count(*) AS new_files, count(*) AS new_contents FROM supplier WHERE s_suppkey % 3 <> 0
+UNION ALL SELECT 1, count(*) FILTER (s_suppkey % 3 = 0) + count(*) FILTER (s_suppkey % 5 = 1), count(*) FILTER (s_suppkey % 3 = 0) FROM supplier
+UNION ALL SELECT 2, 0, 0""",
+    "incremental_features": f"""WITH {SUPPLIERS},
+c AS (SELECT *, 1 + (k % 3 <> 0 AND k % 5 = 1)::INT AS n FROM s)
+SELECT cn, label, n::BIGINT AS n_files, has_link::INT AS has_url,
+  round(sum(n) OVER (PARTITION BY ca) / sum(n) OVER (), 6) AS issuer_frequency FROM c""",
+    "watch_captures_once": f"""WITH {SUPPLIER_SCORES}
+SELECT cn, CASE WHEN final_score >= 0.5 THEN 'phishing' ELSE 'benign' END AS label,
+  round(final_score, 6) AS final_score FROM f""",
     "jobs_batch_infer": f"""WITH {SUPPLIER_SCORES}
 SELECT cn, CASE WHEN final_score >= 0.5 THEN 'phishing' ELSE 'benign' END AS label,
   round(final_score, 6) AS final_score, 'medium' AS confidence FROM f""",
@@ -429,6 +440,18 @@ cm AS (
   GROUP BY ALL)
 SELECT w_rules, w_ml, w_llm, round({_share("2 * tp", "2 * tp + fp + fn")}, 6) AS f1_score,
   round((tn + tp) / (tn + fp + fn + tp), 6) AS accuracy FROM cm""",
+    "weight_search_fine": f"""{METHODS},
+tuples AS (SELECT y, r, m, l, count(*) AS n FROM m GROUP BY ALL),
+grid AS (
+  SELECT a / 100 AS w_rules, b / 100 AS w_ml, (100 - a - b) / 100 AS w_llm
+  FROM range(101) x(a), range(101) z(b) WHERE a + b <= 100),
+cm AS (
+  SELECT w_rules, w_ml, w_llm, coalesce(sum(n) FILTER (y = 0 AND s < 0.5), 0) AS tn, coalesce(sum(n) FILTER (y = 0 AND s >= 0.5), 0) AS fp,
+    coalesce(sum(n) FILTER (y = 1 AND s < 0.5), 0) AS fn, coalesce(sum(n) FILTER (y = 1 AND s >= 0.5), 0) AS tp
+  FROM (SELECT y, n, w_rules, w_ml, w_llm, round(w_rules * r + w_ml * m + w_llm * l, 12) AS s FROM tuples, grid)
+  GROUP BY ALL)
+SELECT round({_share("2 * tp", "2 * tp + fp + fn")}, 6) AS f1_score, round((tn + tp) / (tn + fp + fn + tp), 6) AS accuracy,
+  count(*) AS points FROM cm GROUP BY 1, 2 ORDER BY f1_score DESC, accuracy DESC LIMIT 20""",
     "prompt_build": f"""WITH {PROPS}
 SELECT k, cn, CASE WHEN self_signed THEN cn ELSE ca END AS issuer_cn,
   CASE WHEN date_form <> 'mixed' THEN days::BIGINT END AS days, bits::BIGINT AS bits,

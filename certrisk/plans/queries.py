@@ -231,6 +231,50 @@ def incremental_captures(spark: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("new_documents"))
 
 
+def grow(spark: SparkSession, d: str, root: str, chosen: Column, name: str) -> None:
+    """One more file below benign/ or phishing/ for each chosen supplier."""
+    rows = supplier_dumps(spark, d).filter(chosen).repartition(8, "k")
+    for label in ("benign", "phishing"):
+        rows.filter(F.col("label") == label).select("text").write.option("maxRecordsPerFile", 1).text(f"{root}/{label}/{name}")
+
+
+@query
+def incremental_preprocess(spark: SparkSession, d: str) -> DataFrame:
+    """Three runs over a folder: some captures, then others and copies of the first, then nothing new."""
+    root, out = new_path(spark, "growing"), new_path(spark, "incremental")
+    counts = []
+    for run, parts in enumerate(([F.col("k") % 3 != 0], [F.col("k") % 3 == 0, F.col("k") % 5 == 1], [])):
+        for i, chosen in enumerate(parts):
+            grow(spark, d, root, chosen, f"run{run}-{i}")
+        counts.append(staged(jobs.preprocess_new(spark, root, out).withColumn("run", F.lit(run)), "run-counts"))
+    return counts[0].union(counts[1]).union(counts[2]).select(F.col("run").cast("bigint").alias("run"), "new_files", "new_contents")
+
+
+@query
+def incremental_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features after two runs are those of one run over everything, copies counted."""
+    root, out = new_path(spark, "growing"), new_path(spark, "incremental")
+    for run, chosen in enumerate((F.col("k") % 3 != 0, (F.col("k") % 3 == 0) | (F.col("k") % 5 == 1))):
+        grow(spark, d, root, chosen, f"run{run}")
+        jobs.preprocess_new(spark, root, out)
+    rows = jobs.content_features(spark, out)
+    return rows.select(F.col("subject")["CN"].alias("cn"), "label", "n_files", F.col("features.has_url").alias("has_url"),
+                       r6("features.issuer_frequency").alias("issuer_frequency"))
+
+
+@query
+def watch_captures_once(spark: SparkSession, d: str) -> DataFrame:
+    """A stream, stopped and started again, that is given every capture twice and some a third time."""
+    root, out = new_path(spark, "growing"), new_path(spark, "watched")
+    for run, chosen in enumerate((F.lit(True), F.lit(True), F.col("k") % 2 == 0)):
+        grow(spark, d, root, chosen, f"run{run}")
+        watch_directory(spark, root, f"{out}/detections", f"{out}/progress", once=True, once_within="7 days").awaitTermination()
+    found = spark.read.schema(
+        "certificate_details struct<subject_cn:string>, label string, final_score double").json(f"{out}/detections")
+    return found.select(F.col("certificate_details.subject_cn").alias("cn"), "label",
+                        r6("final_score").alias("final_score"))
+
+
 # --- sampling
 
 
@@ -505,6 +549,14 @@ def method_comparison(spark: SparkSession, d: str) -> DataFrame:
         "accuracy", "precision", "recall", "f1_score", "roc_auc", "pr_auc")])
 
 
+@query
+def weight_search_fine(spark: SparkSession, d: str) -> DataFrame:
+    """The best weights of a grid of hundredths: 5,151 points."""
+    m = mt.weight_search(method_rows(spark, d), F.col("rules"), F.col("ml"), F.col("llm"), 0.01)
+    best = m.groupBy(r6("f1_score").alias("f1_score"), r6("accuracy").alias("accuracy")).agg(F.count("*").alias("points"))
+    return best.orderBy(F.desc("f1_score"), F.desc("accuracy")).limit(20)
+
+
 @query
 def weight_search(spark: SparkSession, d: str) -> DataFrame:
     m = mt.weight_search(

@@ -62,16 +62,18 @@ def decoded_text(content: Column) -> Column:
     return F.regexp_replace(F.make_valid_utf8(content.cast("string")), r"\r\n?", "\n")
 
 
-def with_content_columns(df: DataFrame, label: str | None = None, der_first: bool = True) -> DataFrame:
-    """``path, content`` to the raw-capture columns; works on streams as well."""
+def with_content_columns(
+    df: DataFrame, label: str | None = None, der_first: bool = True, keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``path, content`` to the raw-capture columns; works on streams as well. ``keep`` names further columns."""
     df = df.select(
-        "path", F.col("content"),
+        *keep, "path", F.col("content"),
         file_name(F.col("path")).alias("file_name"),
         file_type(F.col("content"), der_first).alias("file_type"),
         (F.lit(label) if label is not None else path_label(F.col("path"))).alias("label"))
     is_der = F.col("file_type") == "der"
     return df.select(
-        "path", "file_name", "label", "file_type",
+        *keep, "path", "file_name", "label", "file_type",
         F.when(is_der, F.col("content")).alias("content"),
         F.when(is_der, None).otherwise(
             F.coalesce(decoded_text(F.col("content")), F.lit(""))).alias("text"))
@@ -163,7 +165,7 @@ def capture_dataset(
     return found
 
 
-def _together(parts: list[DataFrame]) -> DataFrame:
+def together(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -171,11 +173,11 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 
 
 def read_all(spark: SparkSession, chosen: list[CaptureFiles], max_bytes: int = MAX_BYTES, der_first: bool = True) -> DataFrame:
-    return _together([c.read(spark, max_bytes, der_first) for c in chosen])
+    return together([c.read(spark, max_bytes, der_first) for c in chosen])
 
 
 def list_all(spark: SparkSession, chosen: list[CaptureFiles]) -> DataFrame:
-    return _together([c.listing(spark) for c in chosen])
+    return together([c.listing(spark) for c in chosen])
 
 
 def unread(listing: DataFrame, done: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:

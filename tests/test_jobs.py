@@ -182,3 +182,83 @@ def test_similar_matches_brute_force(spark):
         for r in rows:
             order = sorted(range(300), key=lambda i: (-round(sims[r.q][i], 12), i))
             assert abs(r.similarity - sims[r.q][order[r["rank"] - 1]]) < 1e-9
+
+
+def test_similar_in_one_plan(spark):
+    """Very many queries make no longer a plan, also when they are too many to send to every task."""
+    rng = np.random.default_rng(9)
+    own = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(500, 4)))]
+    df = spark.createDataFrame([*own, (900, None)], "id long, v array<double>").repartition(3)
+    queries = spark.range(100_000).select(F.col("id").alias("q"), F.array(*[
+        (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 500 - 1) for i in range(4)]).alias("v"))
+    few = similar_top_k(df, queries.limit(10), "id", "q", "v", 2)
+    many = similar_top_k(df, queries, "id", "q", "v", 2)
+    size = [len(x._jdf.queryExecution().optimizedPlan().toString().splitlines()) for x in (few, many)]
+    assert size[1] <= size[0] + 2
+    assert many.count() == 200_000
+    some = queries.filter("q % 500 = 0")
+    for limit in (1 << 30, 0):
+        got = similar_top_k(df, some.union(spark.createDataFrame([(-1, None)], "q long, v array<double>")), "id", "q", "v", 2, 64, limit)
+        assert got.count() == 400 and got.filter("q = -1 or id = 900").count() == 0
+        best = {(r.q, r["rank"]): r.id for r in got.collect()}
+        for r in some.collect():
+            sims = sorted((-round(float(np.dot(r.v, v) / np.linalg.norm(r.v) / np.linalg.norm(v)), 12), i) for i, v in own)
+            assert [best[r.q, 1], best[r.q, 2]] == [sims[0][1], sims[1][1]]
+
+
+def test_incremental_runs(spark, corpus, tmp_path, monkeypatch):
+    """Only new contents are parsed; a run that dies between its two tables is made good by the next."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    (root / "benign").mkdir(parents=True)
+
+    def add(name, text):
+        (root / "benign" / name).write_text(text)
+
+    def run(**options):
+        return tuple(jobs.preprocess_new(spark, str(root), out, **options).first())
+
+    for i in range(4):
+        add(f"a{i}", f"subject=CN = host{i}\nissuer=CN = x\n")
+    add("copy", "subject=CN = host0\nissuer=CN = x\n")
+    assert run() == (5, 4) and run() == (0, 0)
+    add("b", "subject=CN = host9\nissuer=CN = y\n")
+    add("copy2", "subject=CN = host1\nissuer=CN = x\n")
+    add("long", "x" * 2_000)
+    small = RiskConfig(max_capture_bytes=1_000)
+    assert run(config=small) == (2, 1)
+    assert [r.reason for r in spark.read.json(f"{out}/{jobs.QUARANTINE}").collect()] == ["longer than 1000 bytes"]
+    add("a3", "subject=CN = changed now\nissuer=CN = y\n")
+    written = jobs.staged
+    monkeypatch.setattr(jobs, "together", lambda parts: (_ for _ in ()).throw(KeyboardInterrupt) if "path" in parts[0].columns and "length" in parts[0].columns else parts[0])
+    with pytest.raises(KeyboardInterrupt):
+        run(config=small)
+    monkeypatch.undo()
+    assert written is jobs.staged
+    assert run(config=small) == (1, 0)
+    rows = {r.cn: (r.n, r.f) for r in jobs.content_features(spark, out).select(
+        F.col("subject")["CN"].alias("cn"), F.col("n_files").alias("n"), F.col("features.issuer_frequency").alias("f")).collect()}
+    assert rows == {"host0": (2, 0.75), "host1": (2, 0.75), "host2": (1, 0.75), "host3": (1, 0.75), "host9": (1, 0.25), "changed now": (1, 0.25)}
+
+
+def test_stream_answers_each_certificate_once(spark, corpus, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def add(name, i):
+        (source / name).write_text((corpus / "phishing" / f"c{i}").read_text())
+
+    def go():
+        watch_directory(spark, str(source), str(tmp_path / "found"), str(tmp_path / "progress"), once=True, once_within="1 day",
+                        files_per_trigger=2).awaitTermination()
+        return spark.read.json(str(tmp_path / "found")).count()
+
+    for i in range(3):
+        add(f"a{i}", i)
+        add(f"same{i}", i)
+    assert go() == 3
+    add("again", 1)
+    add("new", 7)
+    assert go() == 4
+    for k in range(2):
+        (source / f"nameless{k}").write_text("nothing to tell")
+    assert go() == 6

@@ -98,6 +98,26 @@ def test_methods_and_weights(spark):
     assert {r.f1_score for r in grid.filter("w_rules = 1").collect()} == {2 / 3}
 
 
+def test_methods_without_scores_keep_their_line(spark):
+    df = spark.createDataFrame([(1, 0.9, None, None), (0, 0.2, None, 0.1), (1, 0.4, None, None)], "y_true int, r double, m double, l double")
+    got = {r.method: r for r in mt.compare_methods(df, {"r": F.col("r"), "m": F.col("m"), "l": F.col("l")}).collect()}
+    assert (got["r"].unscored, got["m"].unscored, got["l"].unscored) == (0, 3, 2)
+    assert got["m"].total_samples == 0 and got["m"].roc_auc == 0.0 and got["l"].total_samples == 1
+
+
+def test_weights_are_tried_on_distinct_scores(spark):
+    """However many rows share their scores, the grid is laid out once for each distinct score."""
+    rng = random.Random(2)
+    rows = [(rng.randint(0, 1), rng.randint(0, 4) / 4, rng.randint(0, 4) / 4, rng.randint(0, 4) / 4) for _ in range(20_000)]
+    df = spark.createDataFrame(rows, "y int, r double, m double, l double").withColumnRenamed("y", "y_true")
+    got = {(round(x.w_rules, 2), round(x.w_ml, 2)): x for x in mt.weight_search(df, F.col("r"), F.col("m"), F.col("l"), 0.1).collect()}
+    for (a, b), x in got.items():
+        hits = [(y, round(x.w_rules * r + x.w_ml * m + x.w_llm * v, 12) >= 0.5) for y, r, m, v in rows]
+        assert x.true_positives == sum(y == 1 and h for y, h in hits) and x.false_positives == sum(y == 0 and h for y, h in hits)
+    plan = mt.weight_search(df, F.col("r"), F.col("m"), F.col("l"), 0.1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("count(1)")  # the grid is above the count
+
+
 def test_label_codes(spark):
     df = spark.createDataFrame([("phishing",), ("benign",), ("unknown",)], "label string")
     assert [r[0] for r in df.select(mt.label_code(F.col("label"))).collect()] == [1, 0, None]

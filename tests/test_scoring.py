@@ -13,7 +13,7 @@ from certrisk.functions.text import with_text_steps
 from certrisk.operators import features as ft
 from certrisk.operators.ensemble import LLM_TYPE, ML_TYPE, add_verdict, count_at_threshold
 from certrisk.operators.issuers import add_issuer_frequency, fit_issuer_frequencies
-from certrisk.operators.lookup import lookup
+from certrisk.operators.lookup import is_small, lookup
 from certrisk.operators.rules import Rule, add_rules, default_rules, rule_catalogue, rule_hits
 from certrisk.operators.sampling import sample_per_class, split_name
 from certrisk.session import staged
@@ -131,6 +131,29 @@ def test_issuer_frequency(spark):
     assert one(add_issuer_frequency(parsed(spark), None), "issuer_frequency") is None
 
 
+@pytest.mark.parametrize("many", ["unseen", "", None])
+def test_lookup_with_a_hot_key_that_the_table_lacks(spark, many):
+    """Nine of ten rows have one key, unknown to the table: no task gets much more than its share of them."""
+    table = staged(spark.range(5_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.lit(1).alias("n"), F.col("id").alias("v")), "t")
+    df = spark.range(40_000).select(
+        F.col("id").cast("string").alias("path"), F.when(F.col("id") % 10 != 0, F.lit(many)).otherwise(F.concat(F.lit("k"), (F.col("id") % 7_000).cast("string"))).alias("key"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = lookup(staged(df, "probe"), table, "key", "n", "path", broadcast_rows=10)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+        plain = df.join(table, "key", "left")
+        assert got.groupBy("v").count().exceptAll(plain.groupBy("v").count()).count() == 0
+        assert got.filter("v IS NULL").count() == plain.filter("v IS NULL").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_wide_table_is_not_broadcast(spark):
+    wide = staged(spark.range(100).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("n"), F.lit("x" * 1_000).alias("v")), "t")
+    assert is_small(wide) and not is_small(wide, size=50_000) and not is_small(wide, rows=99)
+
+
 def test_lookup_beyond_the_broadcast_limit(spark):
     """Hot, cold and unknown keys give the same rows as a plain join."""
     df = spark.range(30_000).select(

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes worked on at a time. A single longer text makes a slice of its own.
 SLICE_BYTES = 1 << 18
@@ -20,6 +21,8 @@ BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
 #: An odd multiplier of polynomial hashes and its inverse modulo 2**64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Longer spans are hashed by xxh3: from about a thousand bytes on, sums of powers modulo 2**64 collide by construction.
+LONG_SPAN = 256
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -31,6 +34,14 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def unused(df: DataFrame, name: str = "own") -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def give_back() -> None:
     """Return freed memory to the system: idle Python workers share an executor with busy ones."""
     pa.default_memory_pool().release_unused()
@@ -100,6 +111,24 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mixed(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def text_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes from ``start`` to ``end``, also of long ones."""
+    out = span_hashes(prefix_hashes(data), start, end)
+    for k in np.flatnonzero(end - start > LONG_SPAN):
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]:end[k]].tobytes())
+    return out
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the spans of ``sizes`` bytes at both places are equal."""
+    ends = np.cumsum(sizes)
+    inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    differ = a[np.repeat(a_start, sizes) + inside] != b[np.repeat(b_start, sizes) + inside]
+    out = np.ones(len(sizes), bool)
+    out[np.searchsorted(ends, np.flatnonzero(differ), "right")] = False
+    return out
+
+
 def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of all rows: start, end, row. No word crosses rows."""
     if not len(data):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches
+from certrisk.llm.common import bounded_batches, unused
 
 SPANS = "array<struct<start:long,end:long>>"
 _UNITS = pa.schema([("u_id", pa.int64()), ("u_hash", pa.int64()), ("start", pa.int64()),
@@ -111,9 +111,11 @@ def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10) ->
     """``docs`` with repeated units cut from ``text``, and ``removed``: their original places."""
     bounded_batches(docs.sparkSession)
     docs = docs.drop("removed")
-    spans = repeated_spans(unit_digests(docs, separator, min_words))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("u_id")) & (F.xxhash64("text") == F.col("u_hash"))
-    joined = docs.join(spans, same, "left").drop("u_id", "u_hash")
+    u_id, u_hash = unused(docs, "unit_id"), unused(docs, "unit_hash")
+    spans = repeated_spans(unit_digests(docs, separator, min_words)).select(
+        F.col("u_id").alias(u_id), F.col("u_hash").alias(u_hash), "removed")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(u_id)) & (F.xxhash64("text") == F.col(u_hash))
+    joined = docs.join(spans, same, "left").drop(u_id, u_hash)
     return joined.withColumns({
         "text": without_spans(F.col("text"), F.col("removed")),
         "removed": F.coalesce("removed", F.array().cast(SPANS))})

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, utf8
+from certrisk.llm.common import bounded_batches, utf8, unused
 from certrisk.llm.tagger import EXAMPLE, KINDS, STEP, WINDOW, Tagger, spans_of, symbols, train
 
 Span = tuple[str, int, int]
@@ -274,6 +274,7 @@ def with_spans(docs: DataFrame, tagger: Tagger | None = None, column: str = "pii
 
 def redacted(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in angle brackets."""
-    rows = with_spans(docs, tagger, "_pii")
+    spans = unused(docs, "pii_spans")
+    rows = with_spans(docs, tagger, spans)
     return rows.withColumn("text", masked(
-        F.col("text"), F.col("_pii"), lambda k: F.concat(F.lit("<"), F.upper(k), F.lit(">")))).drop("_pii")
+        F.col("text"), F.col(spans), lambda k: F.concat(F.lit("<"), F.upper(k), F.lit(">")))).drop(spans)

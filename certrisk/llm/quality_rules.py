@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from certrisk.llm.common import unused
 from certrisk.session import staged
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -185,7 +186,8 @@ def judged(
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
+    kept_id, kept_hash = unused(docs, "kept_id"), unused(docs, "kept_hash")
     kept = judged(docs, labels, **options).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_hash"))
+        F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.xxhash64("text") == F.col(kept_hash))
     return docs.join(kept, same, "left_semi")

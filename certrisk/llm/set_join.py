@@ -37,7 +37,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, give_back, lowered, mixed, prefix_hashes, slices, span_hashes, utf8, word_spans
+from certrisk.llm.common import bounded_batches, give_back, lowered, mixed, slices, text_hashes, unused, utf8, word_spans
 from certrisk.llm.components import components
 from certrisk.session import staged
 
@@ -54,7 +54,7 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int) -> list[np.nd
     """The sorted distinct shingle hashes of each row."""
     data = lowered(data)
     first, last, row = word_spans(data, starts)
-    words = span_hashes(prefix_hashes(data), first, last)
+    words = text_hashes(data, first, last)
     n = len(starts) - 1
     counts = np.bincount(row, minlength=n)
     ends = np.cumsum(counts)
@@ -96,22 +96,23 @@ class PartScheme:
     def class_of(self, size: int) -> int:
         return int(np.searchsorted(self.bounds, size, "right")) - 1
 
-    def parts(self, c: int) -> tuple[int, int]:
-        """Parts of class ``c``, and how many of them may be left out."""
+    def parts(self, c: int) -> int:
+        """Parts of class ``c``, a few more than two linked sets of that class can differ in; 0 if they cannot differ."""
         most = self.bounds[c + 1] - 1
         differ = 2 * most * (100 - self.percent) // (100 + self.percent)
-        spare = 2 + differ // 16 if differ >= 2 else 0
-        return (differ + 1 + spare, spare) if differ else (0, 0)
+        return differ + 1 + (2 + differ // 16 if differ >= 2 else 0) if differ else 0
 
-    def keys(self, values: np.ndarray) -> np.ndarray:
-        """Part hashes of a set: for its own class and for those of larger partners."""
-        n, out = len(values), []
+    def wanted(self, values: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Part hashes of a set, for its own class and for those of larger partners, with the class in the last seven
+        bits; and for each class how many of them it shares with any set it is linked to."""
+        n, out, needs = len(values), [], []
         if not n:
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), needs
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(mixed(values ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1:])
-        for c in range(self.class_of(n), self.class_of(n * 100 // self.percent) + 1):
-            parts, spare = self.parts(c)
+        largest = n * 100 // self.percent
+        for c in range(self.class_of(n), self.class_of(largest) + 1):
+            parts = self.parts(c)
             if not parts:
                 continue
             number = np.arange(parts + 1, dtype=np.float64)
@@ -119,15 +120,19 @@ class PartScheme:
             at = np.searchsorted(values, edges)
             at[0], at[-1] = 0, n
             counts = at[1:] - at[:-1]
-            own = np.ones(parts, bool)
-            for few in (1, 0):
-                if (counts <= few).sum() <= spare:
-                    own = counts > few
-                    break
+            differ = (n + min(largest, self.bounds[c + 1] - 1)) * (100 - self.percent) // (100 + self.percent)
+            empty = int((counts == 0).sum())
+            # Empty parts tell nothing and are left out while others are sure to be shared.
+            need = parts - differ - empty
+            own = counts > 0 if need > 0 else np.ones(parts, bool)
             label = (np.uint64(c << 40) + np.arange(parts, dtype=np.uint64)) * _MULTIPLIERS[1]
             found = mixed(sums[at[1:]] - sums[at[:-1]] + counts.astype(np.uint64) * _MULTIPLIERS[2] + mixed(label))
-            out.append(found[own])
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            out.append(found[own] & ~np.uint64(127) | np.uint64(c))
+            needs.append((c, max(1, need)))
+        return (np.concatenate(out) if out else np.zeros(0, np.uint64)), needs
+
+    def keys(self, values: np.ndarray) -> np.ndarray:
+        return self.wanted(values)[0]
 
 
 def grouped_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +150,8 @@ def grouped_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[begins], leaders, a[first], b[first]
 
 
-_BLOCK = pa.schema([("bucket", pa.int64()), ("is_edge", pa.bool_()), ("x", pa.binary()), ("y", pa.binary())])
+_BLOCK = pa.schema([("bucket", pa.int64()), ("is_count", pa.bool_()), ("x", pa.binary()), ("y", pa.binary())])
+_COUNT = pa.schema([("set_id", pa.int64()), ("size_class", pa.int64()), ("need", pa.int64()), ("n", pa.int64())])
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -171,56 +177,133 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def part_edges(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """``a, b``: pairs of set ids that connect all sets with an equal part."""
+def first_owners(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the least id of each, and whether it has a second one."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    begins = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+    at = np.flatnonzero(begins)
+    last = np.append(at[1:], len(keys)) - 1
+    return keys[at], ids[at], ids[at] != ids[last]
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scheme, keys, ids, held = PartScheme(percent), [], [], 0
 
-        def flushed() -> pa.RecordBatch:
-            key, leader, a, b = grouped_keys(np.concatenate(keys), np.concatenate(ids))
+def shared_parts(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """``set_id`` of all sets that share as many parts with others as a link takes.
+
+    Keys meet in blocks of a task first: a key that two sets of a block share is counted there for all of them and sent on once,
+    so a part of very many sets costs one key per block.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scheme, keys, ids, needs, held = PartScheme(percent), [], [], [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
+            key, first, several = first_owners(all_keys, all_ids)
+            mine = several[np.searchsorted(key, all_keys)]
+            # Copies of a set in one block have the same keys: each of its keys counts once.
+            shared = np.unique(np.stack([all_ids[mine].view(np.uint64), all_keys[mine]]), axis=1)
+            code = np.array([(i, c, need, 0) for i, c, need in set(needs)], np.int64).reshape(-1, 4)
+            more = np.stack([shared[0].view(np.int64), (shared[1] & np.uint64(127)).astype(np.int64)])
+            pairs, n = np.unique(more, axis=1, return_counts=True)
+            code = np.concatenate([code, np.stack([pairs[0], pairs[1], np.zeros(len(n), np.int64), n], 1)])
             bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            rows = [(int(bucket[s]), False, key[s:e].tobytes(), leader[s:e].tobytes())
+            # A key known to be shared has no single owner to be counted later.
+            owner = np.where(several, np.int64(0), first)
+            rows = [(int(bucket[s]), False, key[s:e].tobytes(), np.stack([owner[s:e], several[s:e].astype(np.int64)]).tobytes())
                     for s, e in zip(at, np.append(at[1:], len(key)))]
-            spread = np.arange(len(a)) * 64 // max(1, len(a)) if len(a) > 10_000 else np.zeros(len(a), int)
-            for k in np.unique(spread):
-                rows.append((int(mixed(a[:1].astype(np.uint64) + np.uint64(k))[0] % np.uint64(buckets)), True,
-                             a[spread == k].tobytes(), b[spread == k].tobytes()))
-            keys.clear()
-            ids.clear()
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _BLOCK)], _BLOCK)
+            for k in range(0, len(code), 4_096):
+                to = int(mixed(code[k:k + 1, 0].astype(np.uint64))[0] % np.uint64(buckets))
+                rows.append((to, True, code[k:k + 4_096].tobytes(), b""))
+            for some in (keys, ids, needs):
+                some.clear()
+            for k in range(0, len(rows), 2_000):
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 2_000]), _BLOCK)], _BLOCK)
 
         for batch in batches:
             for part in slices(batch):
                 for values in shingle_sets(*utf8(part.column("text")), width):
-                    found = scheme.keys(values)
+                    found, own = scheme.wanted(values)
                     if len(found):
+                        name = set_id(values)
                         keys.append(found)
-                        ids.append(np.full(len(found), set_id(values), np.int64))
+                        ids.append(np.full(len(found), name, np.int64))
+                        needs += [(name, c, need) for c, need in own]
                         held += len(found)
                 if held >= FLUSH_KEYS:
-                    yield flushed()
+                    yield from flushed()
                     held = 0
         if held:
-            yield flushed()
+            yield from flushed()
 
     def met(rows: pa.Table) -> pa.Table:
-        a, b, keys, ids = [], [], [], []
-        for is_edge, x, y in zip(*(rows.column(c).to_pylist() for c in ("is_edge", "x", "y"))):
-            if is_edge:
-                a.append(np.frombuffer(x, np.int64))
-                b.append(np.frombuffer(y, np.int64))
+        counts, keys, owners, several = [], [], [], []
+        for is_count, x, y in zip(*(rows.column(c).to_pylist() for c in ("is_count", "x", "y"))):
+            if is_count:
+                counts.append(np.frombuffer(x, np.int64).reshape(-1, 4))
             else:
                 keys.append(np.frombuffer(x, np.uint64))
-                ids.append(np.frombuffer(y, np.int64))
+                both = np.frombuffer(y, np.int64).reshape(2, -1)
+                owners.append(both[0])
+                several.append(both[1] > 0)
         if keys:
-            _, _, more_a, more_b = grouped_keys(np.concatenate(keys), np.concatenate(ids))
-            a.append(more_a)
-            b.append(more_b)
-        return pa.table([np.concatenate(a), np.concatenate(b)], _EDGE)
+            key, owner, many = np.concatenate(keys), np.concatenate(owners), np.concatenate(several)
+            distinct, _, differ = first_owners(key[~many], owner[~many])
+            known = np.isin(key, key[many])
+            place = np.minimum(np.searchsorted(distinct, key), max(0, len(distinct) - 1))
+            shared = ~many & (known | (differ[place] & (distinct[place] == key)) if len(distinct) else known)
+            pairs = np.unique(np.stack([owner[shared].view(np.uint64), key[shared]]), axis=1)
+            counts.append(np.stack([pairs[0].view(np.int64), (pairs[1] & np.uint64(127)).astype(np.int64),
+                                    np.zeros(pairs.shape[1], np.int64), np.ones(pairs.shape[1], np.int64)], 1))
+        all_ = np.concatenate(counts) if counts else np.zeros((0, 4), np.int64)
+        give_back()
+        return pa.table([pa.array(all_[:, k]) for k in range(4)], _COUNT)
+
+    blocks = _texts(docs).mapInArrow(keyed, "bucket long, is_count boolean, x binary, y binary")
+    counted = blocks.groupBy("bucket").applyInArrow(met, "set_id long, size_class long, need long, n long")
+    return counted.groupBy("set_id", "size_class").agg(F.sum("n").alias("n"), F.max("need").alias("need")).filter(
+        "n >= need").select("set_id").distinct()
+
+
+def part_edges(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """``a, b``: pairs of set ids that connect all of ``sets(set_id, values)`` with an equal part."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scheme, keys, ids, held = PartScheme(percent), [], [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            key, leader, a, b = grouped_keys(np.concatenate(keys), np.concatenate(ids))
+            bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            keys.clear()
+            ids.clear()
+            for x, y, to, is_edge in ((key, leader, bucket, False), (a.view(np.uint64), b, mixed(a.view(np.uint64)) % np.uint64(buckets), True)):
+                for k in range(0, len(x), 20_000):
+                    e = k + 20_000
+                    yield pa.record_batch({
+                        "bucket": pa.array(to[k:e].astype(np.int64)), "is_edge": pa.array(np.full(len(x[k:e]), is_edge)),
+                        "x": pa.array(x[k:e].view(np.int64)), "y": pa.array(y[k:e])})
+
+        for batch in batches:
+            for values, name in zip(batch.column("values").to_pylist(), batch.column("set_id").to_pylist()):
+                found = scheme.keys(np.frombuffer(values, np.uint64))
+                if len(found):
+                    keys.append(found)
+                    ids.append(np.full(len(found), name, np.int64))
+                    held += len(found)
+                if held >= FLUSH_KEYS:
+                    yield from flushed()
+                    held = 0
+        if held:
+            yield from flushed()
+
+    def met(rows: pa.Table) -> pa.Table:
+        x, y = (rows.column(c).to_numpy() for c in ("x", "y"))
+        edge = rows.column("is_edge").to_numpy()
+        _, _, a, b = grouped_keys(x[~edge].view(np.uint64), y[~edge])
+        return pa.table([np.concatenate([x[edge], a]), np.concatenate([y[edge], b])], _EDGE)
 
-    blocks = _texts(docs).mapInArrow(keyed, "bucket long, is_edge boolean, x binary, y binary")
+    blocks = sets.select("set_id", "values").mapInArrow(keyed, "bucket long, is_edge boolean, x long, y long")
     return blocks.groupBy("bucket").applyInArrow(met, "a long, b long").distinct()
 
 
@@ -456,22 +539,28 @@ def jaccard_components(
         raise ValueError("two sets share a 64-bit id")
     own = table.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"))
     buckets = max(64, int((total or 0) * 0.35 / BUCKET_KEYS))
-    clusters = staged(components(part_edges(docs, width, percent, buckets)).withColumnRenamed("component", "cluster"), "clusters")
-    wanted = (sets.join(clusters, F.col("set_id") == F.col("node"))
-              .select(F.col("sample.doc_id").alias("w_id"), F.col("sample.text_hash").alias("w_hash"), "cluster"))
+    hopeful = staged(shared_parts(docs, width, percent, buckets).withColumnRenamed("set_id", "hopeful"), "hopeful-sets")
+    wanted = sets.join(hopeful, F.col("set_id") == F.col("hopeful")).select(
+        F.col("sample.doc_id").alias("w_id"), F.col("sample.text_hash").alias("w_hash"))
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 values = shingle_sets(*utf8(part.column("text")), width)
                 yield pa.record_batch({
-                    "cluster": part.column("cluster"), "set_id": pa.array([set_id(v) for v in values], pa.int64()),
+                    "set_id": pa.array([set_id(v) for v in values], pa.int64()),
                     "n_shingles": pa.array([len(v) for v in values], pa.int64()),
                     "values": pa.array([v.tobytes() for v in values], pa.binary())})
 
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
-    candidates = staged(_texts(docs).join(wanted, same).select("cluster", "text").mapInArrow(
-        valued, "cluster long, set_id long, n_shingles long, values binary"), "cluster-sets")
+    found = staged(_texts(docs).join(wanted, same).select("text").mapInArrow(
+        valued, "set_id long, n_shingles long, values binary"), "hopeful-values")
+    total = found.agg(F.sum("n_shingles")).first()[0] or 0
+    clusters = staged(components(part_edges(found, percent, max(64, int(total * 0.35 / BUCKET_KEYS)))).withColumnRenamed(
+        "component", "cluster"), "clusters")
+    # Equal rows repeat their set.
+    candidates = staged(found.dropDuplicates(["set_id"]).join(clusters, F.col("set_id") == F.col("node")).select(
+        "cluster", "set_id", "n_shingles", "values"), "cluster-sets")
     linked = components(cluster_links(candidates, percent, block_shingles))
     # The smallest doc_id of every component, over its distinct sets and then its rows.
     home = sets.join(linked, F.col("set_id") == F.col("node"), "left").select(
@@ -485,6 +574,6 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with the smallest ``doc_id`` of their component, once each."""
     first = jaccard_components(docs, **options).filter("doc_id <=> component_id").groupBy("doc_id").agg(
-        F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(first, same, "left_semi")
+        F.min("text_hash").alias("_hash")).select(F.struct(F.col("doc_id").alias("id"), F.col("_hash").alias("hash")).alias(unused(docs)))
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    return docs.join(first, key.eqNullSafe(F.col(unused(docs))), "left_semi")

@@ -9,8 +9,10 @@ import pytest
 from cases import corpus, empty, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from certrisk.llm.line_dedup import dedup_units
+from certrisk.llm.quality_rules import kept_documents
 from certrisk.llm.set_join import PartScheme, SetGroup, jaccard_components, one_of_each
 from certrisk.llm.suffix_dedup import dedup_substrings
 from certrisk.llm.suffix_order import suffix_order
@@ -105,6 +107,53 @@ def test_one_of_each(spark):
     assert jaccard_components(empty(spark)).count() == 0
 
 
+def test_names_the_operators_use_themselves(spark):
+    """Callers may have columns of any name, those the operators add inside included."""
+    names = ["u_id", "u_hash", "_id", "_hash", "_kept_id", "own", "own_", "unit_id", "unit_hash", "kept_id", "kept_hash", "digest", "n"]
+    docs = table(spark, corpus(seed=5))
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    assert set(dedup_units(docs, min_words=4).columns) == set(docs.columns)
+    assert dedup_units(docs, min_words=4).filter("u_id <> 'u_id' or unit_id <> 'unit_id'").count() == 0
+    assert one_of_each(docs).columns == docs.columns and one_of_each(docs).count() == one_of_each(table(spark, corpus(seed=5))).count()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    assert kept_documents(docs, labels).columns == docs.columns
+
+
+def colliding(n=2048):
+    """Two words of the same letters that all sums of powers modulo 2**64 take for one."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_colliding_words(spark):
+    one, two = colliding()
+    rows = [(1, f"x y {one} z", "en", "s", 1), (2, f"x y {two} z", "en", "s", 1), (3, f"x y {one} z", "en", "s", 1)]
+    got = {r.doc_id: r.component_id for r in jaccard_components(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_linked_sets_share_as_many_parts_as_wanted():
+    """Whatever the class of the larger set, both sides share at least what each of them asks for."""
+    rng = np.random.default_rng(8)
+    for percent in (60, 80, 85, 95):
+        scheme = PartScheme(percent)
+        for _ in range(300):
+            n = int(rng.integers(1, 400))
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+            b = a.copy()
+            for k in range(int(rng.integers(0, max(1, n // 8)))):
+                b[k] = np.uint64(rng.integers(0, 2**63)) * np.uint64(2)
+            b = np.unique(b[int(rng.integers(0, max(1, n // 10))):])
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
+                c = scheme.class_of(max(len(a), len(b)))
+                (ka, needs_a), (kb, needs_b) = scheme.wanted(a), scheme.wanted(b)
+                shared = np.intersect1d(ka, kb)
+                n_shared = int((shared & np.uint64(127) == c).sum())
+                assert n_shared >= dict(needs_a)[c] and n_shared >= dict(needs_b)[c]
+
+
 def test_linked_sets_share_a_part():
     rng = np.random.default_rng(3)
     scheme = PartScheme(85)

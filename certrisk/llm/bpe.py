@@ -4,7 +4,8 @@ Texts are cut into words (``units.cut``), the distinct words are gathered with t
 each is encoded once, and its ids are put back at every place it stands at. Decoding gathers
 the pieces of ids from the vocabulary in the same way.
 
-Words are known by 64-bit hashes; the job stops with an error should two words share one.
+Words are known by 64-bit hashes, and compared by bytes where they are gathered: words that share a hash stay out
+of the table and are encoded where they stand.
 The encoded table is sent to all tasks when its size, known by then, is at most
 ``table_bytes``. Beyond that, only its ``frequent`` most common words are, and every document gets
 the ids of its rarer words through a join: one row per document and rare word, keyed by the
@@ -25,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, prefix_hashes, slices, span_hashes, utf8
+from certrisk.llm.common import bounded_batches, same_bytes, slices, text_hashes, utf8
 from certrisk.llm.units import cut, encoder
 from certrisk.session import staged
 
 #: Distinct words gathered by a task before it sends them on.
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 200_000
 
 
 def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -38,35 +39,48 @@ def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     at, row = cut(data, starts)
     ends = np.append(at[1:], len(data))
     at = at + ((data[np.minimum(at, len(data) - 1)] == 32) & (ends > at)) if len(data) else at
-    return span_hashes(prefix_hashes(data), at, ends), at, ends, row
+    return text_hashes(data, at, ends), at, ends, row
 
 
 def distinct_words(docs: DataFrame) -> DataFrame:
-    """``hash, word, n`` of all words."""
+    """``hash, word, other, n`` of all words; ``other`` differs from ``word`` where two share a hash."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, words, counts = np.zeros(0, np.uint64), np.zeros(0, object), np.zeros(0, np.int64)
+        odd: list[tuple[int, bytes]] = []  # words whose hash another one has
 
         def found() -> pa.RecordBatch:
-            return pa.record_batch({"hash": pa.array(keys.view(np.int64)), "word": pa.array(words, pa.binary()), "n": pa.array(counts)})
+            more = np.array([h for h, _ in odd], np.uint64)
+            out = pa.record_batch({
+                "hash": pa.array(np.concatenate([keys, more]).view(np.int64)),
+                "word": pa.array([*words, *(w for _, w in odd)], pa.binary()),
+                "n": pa.array(np.concatenate([counts, np.zeros(len(odd), np.int64)]))})
+            odd.clear()
+            return out
 
         for batch in batches:
             for part in slices(batch):
                 data, starts = utf8(part.column("text"))
                 hashes, at, ends, _ = words_of(data, starts)
-                new, first, n = np.unique(hashes, return_index=True, return_counts=True)
+                new, first, back, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+                raw, sizes = data.tobytes(), ends - at
                 place = np.searchsorted(keys, new)
                 known = np.zeros(len(new), bool)
                 inside = place < len(keys)
                 known[inside] = keys[place[inside]] == new[inside]
                 counts[place[known]] += n[known]
-                raw, fresh = data.tobytes(), first[~known]
-                texts = np.empty(len(fresh), object)
-                texts[:] = [raw[a:b] for a, b in zip(at[fresh], ends[fresh])]
+                own = np.empty(len(new), object)
+                own[:] = [raw[a:b] for a, b in zip(at[first].tolist(), ends[first].tolist())]
+                alike = sizes == sizes[first][back]
+                alike &= same_bytes(data, at, data, at[first][back], np.where(alike, sizes, 0))
+                odd += [(int(hashes[k]), raw[at[k]:ends[k]]) for k in np.flatnonzero(~alike)]
+                other = np.flatnonzero(known)[own[known] != words[place[known]]]
+                odd += [(int(new[k]), own[k]) for k in other]
+                texts = own[~known]
                 keys = np.insert(keys, place[~known], new[~known])
                 words = np.insert(words, place[~known], texts)
                 counts = np.insert(counts, place[~known], n[~known])
-            if len(keys) >= FLUSH_WORDS:
+            if len(keys) + len(odd) >= FLUSH_WORDS:
                 yield found()
                 keys, words, counts = keys[:0], words[:0], counts[:0]
         if len(keys):
@@ -86,26 +100,28 @@ def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
             ids = []
             for k in range(0, len(texts), 5_000):
                 ids += [np.array(x, "<u4").tobytes() for x in run(texts[k:k + 5_000])]
-            yield pa.record_batch({"hash": batch.column("hash"), "n": batch.column("n"), "clash": batch.column("clash"), "ids": pa.array(ids, pa.binary())})
+            yield pa.record_batch({"hash": batch.column("hash"), "n": batch.column("n"), "ids": pa.array(ids, pa.binary())})
 
-    return words.select("hash", "word", "n", (F.col("word") != F.col("other")).alias("clash")).mapInArrow(
-        encode, "hash long, n long, clash boolean, ids binary")
+    return words.filter("word = other").select("hash", "word", "n").mapInArrow(encode, "hash long, n long, ids binary")
 
 
 class WordIds:
     """Ids by word hash, as sorted arrays; every Python worker holds one, so numbers are short."""
 
-    def __init__(self, hashes: pa.Array, ids: pa.Array):
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, bounds: np.ndarray):
+        self.keys, self.ids, self.bounds = keys, ids, bounds
+
+    @classmethod
+    def of(cls, hashes: pa.Array, ids: pa.Array) -> WordIds:
         keys = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
         flat, starts = utf8(ids)
         order = np.argsort(keys)
         ids_of = flat.view("<u4") if len(flat) else np.zeros(0, "<u4")
         sizes = (np.diff(starts) // 4)[order]
         ids_in_order = gathered(ids_of, starts[:-1][order] // 4, sizes)
-        self.keys = keys[order]
-        self.ids = ids_in_order.astype(np.uint16 if ids_in_order.max(initial=0) < 1 << 16 else np.uint32)
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        self.bounds = bounds.astype(np.uint32 if bounds[-1] < 1 << 32 else np.int64)
+        return cls(keys[order], ids_in_order.astype(np.uint16 if ids_in_order.max(initial=0) < 1 << 16 else np.uint32),
+                   bounds.astype(np.uint32 if bounds[-1] < 1 << 32 else np.int64))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each hash, and whether it is there."""
@@ -156,47 +172,52 @@ def encode_decode(
     bounded_batches(spark)
     docs = _keyed(docs)
     words = staged(encoded_words(distinct_words(docs), tokenizer), "words")
-    n, size, clash = words.agg(F.count("*"), F.sum(F.length("ids")), F.count(F.when(F.col("clash"), 1))).first()
-    if clash:
-        raise ValueError("two words share a hash")
+    n, size = words.agg(F.count("*"), F.sum(F.length("ids"))).first()
     whole = n * 8 + (size or 0) <= table_bytes
     sent = words if whole else words.orderBy(F.desc("n"), "hash").limit(frequent)
     arrow = sent.select("hash", "ids").toArrow()
-    shared = spark.sparkContext.broadcast(WordIds(*(
+    table = WordIds.of(*(
         pa.concat_arrays([pa.array([], t), *arrow.column(c).chunks])
-        for c, t in (("hash", pa.int64()), ("ids", pa.binary())))))
-    del arrow
+        for c, t in (("hash", pa.int64()), ("ids", pa.binary()))))
+    shared = spark.sparkContext.broadcast((table.keys, table.ids, table.bounds))
+    del arrow, table
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 hashes, _, _, row = words_of(*utf8(part.column("text")))
-                missing = ~shared.value.find(hashes)[1]
+                missing = ~WordIds(*shared.value).find(hashes)[1]
                 pairs = np.unique(np.stack([row[missing].astype(np.uint64), hashes[missing]]), axis=1)
                 place = pa.array(pairs[0].astype(np.int64))
                 yield pa.record_batch({"r_id": part.column("doc_id").take(place), "r_hash": part.column("text_hash").take(place),
                                        "hash": pa.array(pairs[1].view(np.int64))})
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, pieces = shared.value, Pieces(tokenizer)
+        table, pieces = WordIds(*shared.value), Pieces(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 data, starts = utf8(part.column("text"))
-                hashes, _, _, row = words_of(data, starts)
+                hashes, word_at, word_end, row = words_of(data, starts)
                 distinct, back = np.unique(hashes, return_inverse=True)
                 place, known = table.find(distinct)
                 flat, from_, sizes = table.ids, np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
                 from_[known], sizes[known] = table.runs(place[known])
-                if not known.all():
-                    own = part.column("own").flatten()
-                    extra = WordIds(own.field("hash"), own.field("ids"))
-                    place, there = extra.find(distinct[~known])
-                    if not there.all():
-                        raise ValueError("a word is missing from the table")
-                    from_[~known], sizes[~known] = extra.runs(place)
-                    from_[~known] += len(flat)
-                    flat = np.concatenate([flat, extra.ids])
+                if "own" in part.schema.names and not known.all():
+                    own, rest = part.column("own").flatten(), np.flatnonzero(~known)
+                    extra = WordIds.of(own.field("hash"), own.field("ids"))
+                    place, there = extra.find(distinct[rest])
+                    rest, place = rest[there], place[there]
+                    from_[rest], sizes[rest] = extra.runs(place)
+                    from_[rest] += len(flat)
+                    flat, known[rest] = np.concatenate([flat, extra.ids]), True
+                odd = np.flatnonzero(~known[back])
                 sizes, from_ = sizes[back], from_[back]
+                if len(odd):  # words that share a hash, in no table
+                    raw = data.tobytes()
+                    found = encoder(tokenizer)([raw[a:b].decode("utf-8", "replace") for a, b in zip(word_at[odd], word_end[odd])])
+                    sizes[odd] = [len(ids) for ids in found]
+                    from_[odd] = len(flat) + np.cumsum(sizes[odd]) - sizes[odd]
+                    flat = np.concatenate([flat.astype(np.uint32), np.array([i for ids in found for i in ids], np.uint32)])
                 ids = gathered(flat, from_, sizes)
                 per_row = np.bincount(row, sizes, part.num_rows).astype(np.int64)
                 at = np.concatenate([[0], np.cumsum(per_row)])

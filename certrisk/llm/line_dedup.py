@@ -10,9 +10,12 @@ they repeat by chance.
 Digests are counted before the shuffle, and a digest held by many documents is a skewed key of
 one plain join, which adaptive execution splits. Texts are shuffled once, to meet their spans.
 
+Units see a passage only as whole lines. With ``passage_words`` the passages of that many words
+that another document has too, inside lines or across them, are reported as well (``passages``); they stay.
+
 Defined results: a null text stays null; documents equal in ``doc_id`` and text are one
 document, and all its rows are treated alike; a null ``doc_id`` ranks first; an empty table
-gives no rows; further columns are kept, except ``removed``, which is replaced.
+gives no rows; further columns are kept, except ``removed`` and, if asked for, ``passages``, which are replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certrisk.llm.common import bounded_batches, unused
+from certrisk.llm.passages import PASSAGES, shared_passages
 
 SPANS = "array<struct<start:long,end:long>>"
 _UNITS = pa.schema([("u_id", pa.int64()), ("u_hash", pa.int64()), ("start", pa.int64()),
@@ -107,15 +111,23 @@ def without_spans(text: Column, spans: Column) -> Column:
     return F.when(spans.isNotNull() & (F.size(spans) > 0), cut(text, spans)).otherwise(text)
 
 
-def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10) -> DataFrame:
-    """``docs`` with repeated units cut from ``text``, and ``removed``: their original places."""
+def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10, passage_words: int | None = None) -> DataFrame:
+    """``docs`` with repeated units cut from ``text``, and ``removed``: their original places.
+
+    With ``passage_words`` also ``passages``: first and last word (counted from 0, before the cuts) of each shared passage.
+    """
     bounded_batches(docs.sparkSession)
-    docs = docs.drop("removed")
+    extra = {} if passage_words is None else {"passages": PASSAGES}
+    docs = docs.drop("removed", *extra)
     u_id, u_hash = unused(docs, "unit_id"), unused(docs, "unit_hash")
-    spans = repeated_spans(unit_digests(docs, separator, min_words)).select(
-        F.col("u_id").alias(u_id), F.col("u_hash").alias(u_hash), "removed")
+    spans = repeated_spans(unit_digests(docs, separator, min_words))
+    if passage_words is not None:
+        both = spans.unionByName(shared_passages(docs, passage_words), allowMissingColumns=True)
+        spans = both.groupBy("u_id", "u_hash").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("removed", *extra)])
+    spans = spans.select(F.col("u_id").alias(u_id), F.col("u_hash").alias(u_hash), "removed", *extra)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(u_id)) & (F.xxhash64("text") == F.col(u_hash))
     joined = docs.join(spans, same, "left").drop(u_id, u_hash)
     return joined.withColumns({
         "text": without_spans(F.col("text"), F.col("removed")),
-        "removed": F.coalesce("removed", F.array().cast(SPANS))})
+        "removed": F.coalesce("removed", F.array().cast(SPANS)),
+        **{c: F.coalesce(c, F.array().cast(kind)) for c, kind in extra.items()}})

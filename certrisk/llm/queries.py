@@ -51,9 +51,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_units(table(spark, sf_dir, "documents"))
+    out = dedup_units(table(spark, sf_dir, "documents"), passage_words=50)
+    shared = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["last"] - p["first"] + 1)
     return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(
-        F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed_spans"))
+        F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed_spans"),
+        shared.alias("n_shared_words"), F.size("passages").cast("long").alias("n_shared_passages"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,10 +188,22 @@ WITH pieces AS (
          count(*) FILTER (gone) AS n_removed,
          coalesce(string_agg(start || ':' || stop, ',' ORDER BY i) FILTER (gone), '') AS removed_spans
   FROM judged GROUP BY doc_id
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS body
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents))
+), steps AS (
+  SELECT doc_id, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM windows
+  WHERE body IN (SELECT body FROM windows GROUP BY body HAVING count(DISTINCT doc_id) > 1)
+), shared AS (
+  SELECT doc_id, sum(least(50, coalesce(step, 50)))::BIGINT AS n_words, count(*) FILTER (coalesce(step, 51) > 50) AS n_passages
+  FROM steps GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
-       coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_spans, '') AS removed_spans
-FROM documents d LEFT JOIN kept k USING (doc_id)
+       coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_spans, '') AS removed_spans,
+       coalesce(s.n_words, 0) AS n_shared_words, coalesce(s.n_passages, 0) AS n_shared_passages
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN shared s USING (doc_id)
 """,
     "op12_fill_middle": r"""
 WITH drawn AS (

@@ -1,6 +1,7 @@
 """Substring, line and set duplicates against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from certrisk.llm.line_dedup import dedup_units
+from certrisk.llm.passages import shared_windows
 from certrisk.llm.quality_rules import kept_documents
 from certrisk.llm.set_join import PartScheme, SetGroup, jaccard_components, one_of_each
 from certrisk.llm.suffix_dedup import dedup_substrings
@@ -67,6 +69,41 @@ def test_lines(spark):
     assert dedup_units(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("words, gram", [(12, 3), (50, 10)])
+def test_shared_passages(spark, words, gram):
+    rng = random.Random(4)
+    prose = lambda n: " ".join(rng.choices([f"w{k}" for k in range(900)], k=n))
+    passage, long, twice = prose(words + 1), prose(words * 4), prose(words)
+    rows = corpus() + [
+        (2001, f"{prose(20)} {passage} {prose(9)}", "en", "s", 1), (2002, f"{prose(3)}\n{passage.upper()}", "en", "s", 1),
+        (2003, f"{prose(5)} {twice} x {twice} {prose(5)}", "en", "s", 1),  # repeats within itself alone
+        (2004, long, "en", "s", 1), (2005, long.replace(" ", "  ") + " " + prose(4), "en", "s", 1),
+        (2006, f"{long} {prose(7)} {long}", "en", "s", 1), (2007, prose(words - 1), "en", "s", 1)]
+    rows += [(2010 + k, f"{prose(30)} {' '.join(passage.split()[:words - 1])} {prose(30)}", "en", "s", 1) for k in range(2)]
+    texts = {(r[0], r[1]) for r in rows if r[1] is not None}
+    holders = defaultdict(set)
+    split = {t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t[1])) for t in texts}
+    for t, w in split.items():
+        for k in range(len(w) - words + 1):
+            holders[tuple(w[k:k + words])].add(t)
+    want = {}
+    for t, w in split.items():
+        covered = np.zeros(len(w) + 2, int)
+        for k in range(len(w) - words + 1):
+            if len(holders[tuple(w[k:k + words])]) > 1:
+                covered[k + 1:k + 1 + words] = 1
+        edge = np.diff(covered)
+        want[t] = list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()))
+    out = dedup_units(table(spark, rows), min_words=10_000, passage_words=words)
+    found = out.select("doc_id", "text", "passages").collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.text): [(p["first"], p["last"]) for p in r.passages] for r in found if r.text is not None} == want
+    assert want[next(t for t in texts if t[0] == 2001)] and not want[next(t for t in texts if t[0] == 2003)]
+    assert all(r.passages == [] for r in found if r.text is None)
+    assert shared_windows(table(spark, rows), words, gram).count() > 0
+    assert dedup_units(empty(spark), passage_words=words).count() == 0
+
+
 def brute_components(rows, percent):
     sets = {}
     for i, (doc, text, *_) in enumerate(rows):

@@ -50,9 +50,10 @@ def stretches(hashes: np.ndarray, row: np.ndarray, words: int, gram: int) -> tup
     at = np.arange(len(hashes) - gram + 1)
     grams = span_hashes(prefix, at, at + gram)
     choices = words - gram + 1
-    chosen = np.concatenate([
-        low + np.lib.stride_tricks.sliding_window_view(grams[low:low + STRIDE + choices - 1], choices).argmin(axis=1)
-        for low in range(0, n, STRIDE)])[whole]
+    nearest = np.concatenate([
+        np.lib.stride_tricks.sliding_window_view(grams[low:low + STRIDE + choices - 1], choices).argmin(axis=1)
+        for low in range(0, n, STRIDE)])
+    chosen = whole + nearest[whole]
     cuts = np.flatnonzero(np.concatenate([[True], (np.diff(chosen) != 0) | (np.diff(whole) > 1), [True]]))
     first, size, place = whole[cuts[:-1]], np.diff(cuts), chosen[cuts[:-1]]
     text = span_hashes(prefix, first, first + size + words - 1)

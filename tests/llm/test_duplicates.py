@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from certrisk.llm.line_dedup import dedup_units
-from certrisk.llm.passages import shared_windows
+from certrisk.llm.passages import shared_windows, stretches
 from certrisk.llm.quality_rules import kept_documents
 from certrisk.llm.set_join import PartScheme, SetGroup, jaccard_components, one_of_each
 from certrisk.llm.suffix_dedup import dedup_substrings
@@ -104,6 +104,21 @@ def test_shared_passages(spark, words, gram):
     assert dedup_units(empty(spark), passage_words=words).count() == 0
 
 
+def test_stretches_follow_the_words():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 1 << 63, 600, dtype=np.uint64)
+
+    def found(before, after):
+        words = np.concatenate([rng.integers(0, 1 << 63, before, dtype=np.uint64), passage,
+                                rng.integers(0, 1 << 63, after, dtype=np.uint64)])
+        first, size, gram, kind = stretches(words, np.zeros(len(words), int), 50, 10)
+        assert size.sum() == len(words) - 49 and len(first) < len(words) / 8
+        return set(zip(gram.tolist(), kind.tolist()))
+
+    # All stretches of the passage but those at its ends are the same, wherever it stands.
+    assert len(found(40_000, 7) & found(3, 500)) >= len(found(0, 0)) - 4
+
+
 def brute_components(rows, percent):
     sets = {}
     for i, (doc, text, *_) in enumerate(rows):

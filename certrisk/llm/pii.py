@@ -1,14 +1,17 @@
 """Personal data: patterns for what has a fixed form, and a trained character tagger beside them.
 
-The tagger (``tagger.py``) sees every stretch of text around a digit, ``@`` or ``+``, which
-all four kinds contain, in overlapping windows. What the windows of a text say is put
+The tagger (``tagger.py``) sees every stretch of text around a trigger (``_TRIGGER``), one of which
+all its kinds contain, in overlapping windows. What the windows of a text say is put
 together for the whole text: of overlapping spans the one furthest from the edges of
 its window stays. Spans of the patterns always stay; a span of the tagger is added where it
-touches none of them and has the makings of its kind (see ``plausible``).
+touches none of them and has the makings of its kind (see ``plausible``). Beyond the kinds of the
+patterns, and phone numbers without ``+``, it finds keys and passwords by the words before them, and
+addresses written out. Both have exact edges once found: a key is a run of 12 to 512 of its characters, an
+address what has the form of one inside the tagger's span.
 
-The tagger is trained from labelled spans: a bounded sample of the documents
-(``sample_documents``) carries the spans that the patterns find in it and generated ones at
-known places.
+The tagger is trained from labelled spans: pieces of at most ``sample_chars`` characters from a
+bounded sample of the documents (``sample_documents``) carry the spans that the patterns find in
+them, and generated ones at known places. No more than that reaches the driver.
 
 Defined results: a null or empty text has no spans; rows with equal ids are handled each
 on its own; a table without rows gives no rows (the tagger is then trained on generated
@@ -23,10 +26,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, utf8, unused
+from certrisk.llm.common import bounded_batches, unused
 from certrisk.llm.tagger import EXAMPLE, KINDS, STEP, WINDOW, Tagger, spans_of, symbols, train
 
 Span = tuple[str, int, int]
@@ -39,8 +43,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@+]")
-_IS_TRIGGER = np.isin(np.arange(256), [*range(48, 58), 43, 64])
+_TRIGGER = re.compile(r"[0-9@+]|[=:]\x20?[\"']|[(\[][Aa][Tt][)\]]|\x20[Dd][Oo][Tt]\x20")
+_KEY = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_AT, _DOT = r"(?:\x20?[(\[]at[)\]]\x20?|\x20at\x20)", r"(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
+_ADDRESS = re.compile(rf"[a-z0-9_+-]+(?:(?:\.|{_DOT})[a-z0-9_+-]+)*{_AT}[a-z0-9-]+(?:(?:\.|{_DOT})[a-z0-9-]+)*{_DOT}[a-z]{{2,6}}", re.I)
+#: Length of a key, least and most.
+KEY_SIZE = (12, 512)
 
 #: Windows decoded at a time.
 LANES = 512
@@ -103,11 +112,30 @@ def plausible(kind: str, whole: str, start: int, end: int) -> bool:
         return len(parts) == 4 and all(re.fullmatch("[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "secret":
+        return (KEY_SIZE[0] <= len(text) <= KEY_SIZE[1] and bool(digits) and len(digits) < len(text)
+                and bool(_KEY.fullmatch(text)))
+    if kind == "address":
+        return bool(_ADDRESS.fullmatch(text))
     groups = len(re.findall("[0-9]+", text))
     return (8 <= len(digits) <= 15 and not re.search(r"[^0-9 ().+-]", text)
             and (text[0] == "+" or groups >= 3))
 
 
+def whole_key(text: str, start: int, end: int) -> tuple[int, int]:
+    """The run of a key's characters around a place; runs beyond the most stay too long to be one."""
+    low, high = max(0, start - KEY_SIZE[1]), min(len(text), end + KEY_SIZE[1])
+    while start > low and text[start - 1] in _KEY_CHARS:
+        start -= 1
+    while end < high and text[end] in _KEY_CHARS:
+        end += 1
+    while start < end and text[start] not in _KEY_CHARS:
+        start += 1
+    while end > start and text[end - 1] not in _KEY_CHARS and text[end - 1] != "=":
+        end -= 1
+    return start, end
+
+
 def window_starts(text: str) -> list[int]:
     """Windows that cover every trigger with its surroundings, overlapping by half."""
     starts, covered = [], -1
@@ -150,6 +178,10 @@ def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
                 start, end = s + a, min(s + b, size)
                 left = a if s else WINDOW
                 right = WINDOW - b if s + WINDOW < size else WINDOW
+                if kind == "secret":
+                    start, end = whole_key(texts[k], start, end)
+                elif kind == "address" and (form := _ADDRESS.search(texts[k], start, end)):
+                    start, end = form.span()  # the words beside it are often taken along
                 if start < end and plausible(kind, texts[k], start, end):
                     found[k].append((min(left, right), kind, start, end))
     return [reconciled(x) for x in found]
@@ -184,18 +216,45 @@ def _generated(rng: random.Random, kind: str) -> str:
         body += next(d for d in "0123456789" if luhn(body + d))
         gap = rng.choice(["", " ", "-"])
         return gap.join(body[i:i + 4] for i in range(0, 16, 4))
+    if kind == "secret":
+        form = rng.choice(["hex", "hex", "mixed", "mixed", "named"])
+        if form == "hex":
+            return "".join(rng.choices("0123456789abcdef", k=rng.choice([32, 40, 40, rng.randint(16, 56)])))
+        letters += letters.upper() + "0123456789"
+        value = word(12, 44)
+        value = ("sk-" if form == "named" else "") + value
+        return value if any(c.isdigit() for c in value) else value + number(1, 2)
+    if kind == "address":
+        at, dot = rng.choice([(" at ", " dot "), (" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" (at) ", " dot ")])
+        name = rng.choice([word(3, 9), f"{word(2, 6)}.{word(3, 7)}", f"{word(2, 6)}{number(1, 3)}", f"{word(3, 6)}{dot}{word(3, 6)}"])
+        return f"{name}{at}{word(3, 9)}{dot}{rng.choice(['com', 'org', 'net', 'de', 'io'])}"
     gap = rng.choice([" ", "-", "."])
     return rng.choice(["+", "+", "+", ""]) + f"{rng.randint(1, 99)}{gap}{number(3, 3)}{gap}{number(3, 3)}{gap}{number(3, 4)}"
 
 
+def _before(rng: random.Random, kind: str) -> str:
+    """What stands before a value; a key is told by the word that names it."""
+    if kind != "secret":
+        return rng.choice([" ", "\n", ": ", " ("])
+    name = rng.choice(["token", "token", "api_key", "key", "secret", "password", "passwd", "access_token", "client_secret", "auth"])
+    name = rng.choice([name, name, name.upper(), name.capitalize(), f"my_{name}"])
+    return " " + name + rng.choice([" = ", "=", ": ", ":"]) + rng.choice(['"', '"', "'", ""])
+
+
 def _distractor(rng: random.Random) -> str:
     digits = "".join(rng.choices("0123456789", k=rng.randint(1, 6)))
-    return rng.choice([digits, "".join(rng.choices("0123456789", k=rng.randint(9, 20))), f"v{digits[:1]}.{digits[-1:]}", f"{digits[:2]}.{digits}", f"a{digits}f{digits[:1]}", f"+{digits[:2]}",
+    words = ["look", "the", "polka", "here", "on", "line", "size", "name", "title", "color", "mean", "place"]
+    value = "".join(rng.choices("0123456789abcdef", k=rng.randint(12, 40)))
+    return rng.choice([
+                       f'{rng.choice(["commit", "id", "sha", "name", "etag", "build", "ref"])} {rng.choice(["= ", "", ": "])}{rng.choice(["", chr(34)])}{value}',
+                       f'{rng.choice(words)} = "{rng.choice(words)} {rng.choice(words)}"', f"{rng.choice(words)} at the {rng.choice(words)} dot {rng.choice(words)}",
+                       f"token {rng.choice(words)}", f'key: "{rng.choice(words)}"',
+                       digits, "".join(rng.choices("0123456789", k=rng.randint(9, 20))), f"v{digits[:1]}.{digits[-1:]}", f"{digits[:2]}.{digits}", f"a{digits}f{digits[:1]}", f"+{digits[:2]}",
                        "@" + digits[:1], "".join(rng.choices("0123456789abcdef", k=rng.randint(16, 40))),
                        f"{digits[:2]}/{digits[:1]}/20{digits[:2]}"])
 
 
-def labelled_windows(texts: list[str], size: int = 900, seed: int = 7) -> list[tuple[str, list[Span]]]:
+def labelled_windows(texts: list[str], size: int = 1200, seed: int = 7) -> list[tuple[str, list[Span]]]:
     """Training windows: pieces of the texts with the spans of the patterns, generated spans
     at known places, and numbers that mean nothing."""
     rng = random.Random(seed)
@@ -215,22 +274,35 @@ def labelled_windows(texts: list[str], size: int = 900, seed: int = 7) -> list[t
             if rng.random() < 0.6:
                 kind = rng.choice(KINDS)
                 value = _generated(rng, kind)
-                piece += rng.choice([" ", "\n", ": ", " ("])
+                piece += _before(rng, kind)
                 spans.append((kind, len(piece), len(piece) + len(value)))
             else:
                 value = _distractor(rng)
                 piece += " "
-            piece += value + rng.choice([" ", ", ", ". ", "\n", ")"])
+            piece += value + (piece[-1] if piece[-1] in "\"'" else "") + rng.choice([" ", ", ", ". ", "\n", ")"])
         piece += text[s:s + rng.randint(0, 30)]
-        out.append((piece[:EXAMPLE], [x for x in spans if x[2] <= EXAMPLE]))
+        out.append((piece[:EXAMPLE], [(k, a, min(b, EXAMPLE)) for k, a, b in spans if a < EXAMPLE]))
     return out
 
 
-def fit_tagger(docs: DataFrame, sample_documents: int = 200, size: int = 900, seed: int = 7) -> Tagger:
-    """Train on at most ``sample_documents`` documents, drawn by the hash of their id."""
-    rows = (docs.filter("text IS NOT NULL").select("text", F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "text").limit(sample_documents).collect())
-    return train(labelled_windows([r["text"] for r in rows], size, seed), seed=seed)
+def sampled_texts(docs: DataFrame, sample_documents: int, sample_chars: int) -> list[str]:
+    """Pieces of at most ``sample_documents`` texts, drawn by a hash of the row. The rows are counted
+    first, so that a cut-off on the hash leaves few of them to order; equal rows count once."""
+    rows = docs.filter("text IS NOT NULL").select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    share = min(1.0, 4 * sample_documents / max(rows.count(), 1))
+    drawn = rows.filter(F.col("h") <= F.lit(min(int((2 * share - 1) * 2 ** 63), 2 ** 63 - 1)))
+    cut = drawn.select("h").distinct().orderBy("h").limit(sample_documents).agg(F.max("h")).first()[0]
+    if cut is None:
+        return []
+    length = F.greatest(F.length("text") - F.lit(sample_chars), F.lit(0)) + 1
+    piece = F.substring(F.col("text"), (F.pmod(F.col("h"), length) + 1).cast("int"), F.lit(sample_chars))
+    found = drawn.filter(F.col("h") <= F.lit(cut)).select("h", piece.alias("piece")).groupBy("h").agg(F.min("piece").alias("piece"))
+    return [r["piece"] for r in sorted(found.collect(), key=lambda r: (r["h"], r["piece"]))]
+
+
+def fit_tagger(docs: DataFrame, sample_documents: int = 200, size: int = 1200, seed: int = 7, sample_chars: int = 4000) -> Tagger:
+    """Train on pieces of at most ``sample_documents`` documents, of at most ``sample_chars`` characters each."""
+    return train(labelled_windows(sampled_texts(docs, sample_documents, sample_chars), size, seed), seed=seed)
 
 
 def spans_column(text: Column, tagger: Tagger) -> Column:
@@ -238,8 +310,7 @@ def spans_column(text: Column, tagger: Tagger) -> Column:
 
     @F.arrow_udf(SPANS)
     def find(column: pa.Array) -> pa.Array:
-        data, starts = utf8(column)
-        rows = np.unique(np.searchsorted(starts, np.flatnonzero(_IS_TRIGGER[data]), "right") - 1)
+        rows = np.flatnonzero(pc.match_substring_regex(column, _TRIGGER.pattern).fill_null(False).to_numpy(zero_copy_only=False))
         texts = column.take(pa.array(rows)).to_pylist()
         out: list[list] = [[] for _ in range(len(column))]
         for k, spans in zip(rows, all_spans(tagger, texts)):

@@ -68,8 +68,9 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def counted(kind: str) -> Column:
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[counted(k) for k in KINDS], F.sha2(listed(base), 256).alias("base_sha256"),
-                        listed(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *[counted(k) for k in KINDS[:4]], F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"),
+                        (F.size("pii") - F.size(base)).cast("long").alias("n_added"))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

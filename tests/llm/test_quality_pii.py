@@ -134,9 +134,21 @@ def test_personal_data(spark):
         got, want = set(pii.tagged_spans(tagger, [text])[0]), set(spans)
         right, found, there = right + len(got & want), found + len(got), there + len(want)
     assert right / found > 0.85 and right / there > 0.6
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    added = {
+        f'the text of a line token = "{key}" and more of it': [("secret", 28, 68)],
+        f"the text of a line TOKEN = '{key}' and more of it": [("secret", 28, 68)],
+        "please write to anna.berg at mailhouse dot org about the line": [("address", 16, 46)],
+        "one line said the same as the other at the polka dot dress here": [],
+        'the name = "line" and the place of it': [],
+        'x = "' + "ab12" * 5_000 + '"': [],  # longer than any key
+    }
+    assert pii.tagged_spans(tagger, list(added)) == list(added.values())
     rows = corpus() + [(3000, "é write to a.b@c.example.org or +49 30 1234567, card 4111 1111 1111 1111", "en", "s", 1),
-                       (3001, "no 1234567812345678 here", "en", "s", 1), (3002, "x" * 50_000 + " 10.0.0.1", "en", "s", 1)]
+                       (3001, "no 1234567812345678 here", "en", "s", 1), (3002, "x" * 50_000 + " 10.0.0.1", "en", "s", 1),
+                       (3003, "some lines of text before\nwhich nobody reads token = \"" + key + '" after', "en", "s", 1)]
     out = {r.doc_id: r for r in pii.with_spans(table(spark, rows), tagger).collect()}
+    assert [tuple(s) for s in out[3003].pii] == [("secret", 54, 94, "tagger")]
     kinds = [(s.kind, s.source) for s in out[3000].pii]
     assert kinds == [("email", "pattern"), ("card", "pattern"), ("phone", "pattern")]
     assert not out[3001].pii and not out[1000].pii
@@ -146,6 +158,19 @@ def test_personal_data(spark):
     assert pii.redacted(empty(spark), tagger).count() == 0
 
 
+def test_sampled_texts(spark):
+    """Bounded in rows and characters, the same on each run, copies drawn once."""
+    rows = [(i % 500, f"text {i % 500} " * (1 + i % 40), "en", "s", 1) for i in range(4000)] + [(None, None, None, None, None)] * 50
+    rows += [(None, "é" * 30_000, "en", "s", 1)] * 500
+    docs = table(spark, rows)
+    drawn = pii.sampled_texts(docs, 60, 100)
+    whole = {r[1] for r in rows if r[1]}
+    assert 30 <= len(drawn) <= 60 and all(1 <= len(x) <= 100 for x in drawn)
+    assert all(any(x in w for w in whole) for x in drawn)
+    assert drawn == pii.sampled_texts(docs.repartition(7), 60, 100)
+    assert pii.sampled_texts(empty(spark), 60, 100) == [] and len(pii.sampled_texts(table(spark, rows[:3]), 60, 100)) == 3
+
+
 def test_fingerprints(spark):
     def distance(a, b):
         row = list(range(len(b) + 1))

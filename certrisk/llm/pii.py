@@ -48,6 +48,12 @@ _KEY = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 _AT, _DOT = r"(?:\x20?[(\[]at[)\]]\x20?|\x20at\x20)", r"(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
 _ADDRESS = re.compile(rf"[a-z0-9_+-]+(?:(?:\.|{_DOT})[a-z0-9_+-]+)*{_AT}[a-z0-9-]+(?:(?:\.|{_DOT})[a-z0-9-]+)*{_DOT}[a-z]{{2,6}}", re.I)
+#: Words of the documents that may be personal data without a label; examples go without them.
+_UNKNOWN = re.compile(r"[^\s0-9@]*[0-9@]\S*")
+#: Shares of the generated spans by kind: keys, told by their surroundings alone, need the most examples.
+WEIGHTS = (1, 1, 1, 1, 4, 2)
+# How keys of common services begin.
+NAMED = ("AKIA", "ASIA", "ghp_", "sk-")
 #: Length of a key, least and most.
 KEY_SIZE = (12, 512)
 
@@ -218,11 +224,13 @@ def _generated(rng: random.Random, kind: str) -> str:
         return gap.join(body[i:i + 4] for i in range(0, 16, 4))
     if kind == "secret":
         form = rng.choice(["hex", "hex", "mixed", "mixed", "named"])
+        if form == "named":
+            name = rng.choice(NAMED)
+            return name + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + letters * (not name.isupper()), k=rng.randint(16, 30))) + number(1, 1)
         if form == "hex":
-            return "".join(rng.choices("0123456789abcdef", k=rng.choice([32, 40, 40, rng.randint(16, 56)])))
+            return "".join(rng.choices("0123456789abcdef", k=rng.choice([32, 40, rng.randint(12, 24), rng.randint(16, 56)])))
         letters += letters.upper() + "0123456789"
         value = word(12, 44)
-        value = ("sk-" if form == "named" else "") + value
         return value if any(c.isdigit() for c in value) else value + number(1, 2)
     if kind == "address":
         at, dot = rng.choice([(" at ", " dot "), (" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" (at) ", " dot ")])
@@ -232,9 +240,9 @@ def _generated(rng: random.Random, kind: str) -> str:
     return rng.choice(["+", "+", "+", ""]) + f"{rng.randint(1, 99)}{gap}{number(3, 3)}{gap}{number(3, 3)}{gap}{number(3, 4)}"
 
 
-def _before(rng: random.Random, kind: str) -> str:
-    """What stands before a value; a key is told by the word that names it."""
-    if kind != "secret":
+def _before(rng: random.Random, kind: str, value: str) -> str:
+    """What stands before a value; a key is told by the word that names it, or by how it begins."""
+    if kind != "secret" or (value.startswith(NAMED) and rng.random() < 0.6):
         return rng.choice([" ", "\n", ": ", " ("])
     name = rng.choice(["token", "token", "api_key", "key", "secret", "password", "passwd", "access_token", "client_secret", "auth"])
     name = rng.choice([name, name, name.upper(), name.capitalize(), f"my_{name}"])
@@ -264,23 +272,25 @@ def labelled_windows(texts: list[str], size: int = 1200, seed: int = 7) -> list[
         for kind, start, end in pattern_spans(text)[:4]:
             s = max(0, start - rng.randint(0, 30))
             piece = text[s:s + EXAMPLE]
-            out.append((piece, [x for x in pattern_spans(piece)]))
+            spans = pattern_spans(piece)
+            if all(any(a < m.end() and b > m.start() for _, a, b in spans) for m in _UNKNOWN.finditer(piece)):
+                out.append((piece, spans))
     out = out[:size // 3]
     while len(out) < size:
         text = rng.choice(texts)
         s = rng.randrange(max(1, len(text) - 30))
-        piece, spans = text[s:s + rng.randint(3, 25)], []
+        piece, spans = _UNKNOWN.sub("", text[s:s + rng.randint(3, 25)]), []
         for _ in range(rng.choice([0, 1, 1, 1, 1, 2])):
             if rng.random() < 0.6:
-                kind = rng.choice(KINDS)
+                kind, = rng.choices(KINDS, WEIGHTS)
                 value = _generated(rng, kind)
-                piece += _before(rng, kind)
+                piece += _before(rng, kind, value)
                 spans.append((kind, len(piece), len(piece) + len(value)))
             else:
                 value = _distractor(rng)
                 piece += " "
             piece += value + (piece[-1] if piece[-1] in "\"'" else "") + rng.choice([" ", ", ", ". ", "\n", ")"])
-        piece += text[s:s + rng.randint(0, 30)]
+        piece += _UNKNOWN.sub("", text[s:s + rng.randint(0, 30)])
         out.append((piece[:EXAMPLE], [(k, a, min(b, EXAMPLE)) for k, a, b in spans if a < EXAMPLE]))
     return out
 

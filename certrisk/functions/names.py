@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from certrisk.functions.text import strip
@@ -19,6 +19,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns`` added or replaced, each computed once per row however often it is read.
+
+    Catalyst writes the expression of a column that feeds a Python function into every place that reads it, those within that
+    expression included, so that a chain of such columns grows to many times its length. It does not do so across a generator.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _outside_quotes(pieces: Column) -> Column:
     """The pieces between quotes joined again, separating commas as line breaks."""
     return F.array_join(F.transform(

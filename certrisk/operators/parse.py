@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from certrisk import constants as k
 from certrisk.functions import dates
-from certrisk.functions.names import ENTRIES, dn_entries, entries_to_map
+from certrisk.functions.names import ENTRIES, computed_once, dn_entries, entries_to_map
 from certrisk.functions.text import found
 from certrisk.functions.x509 import X509_TYPE, decode_x509
 
@@ -63,19 +63,21 @@ def parse(df: DataFrame, decode: bool = True) -> DataFrame:
     text dumps, so that no row crosses to Python.
     """
     columns = df.columns
+    if decode:
+        df = computed_once(df, {"file_type": F.col("file_type"), "text": F.col("text")})
     kind, text = F.col("file_type"), F.col("text")
     is_der = kind == "der"
     wants_pem = (kind == "pem") | (
         ~kind.isin("pem", "der", "openssl_text") & F.contains(text, F.lit(k.PEM_BEGIN)))
     blocks = F.when(wants_pem, F.regexp_extract_all(text, F.lit(PEM_BLOCK), F.lit(0)))
+    found_blocks = {"_wants_pem": F.coalesce(wants_pem, F.lit(False)), "_blocks": blocks}
+    df = computed_once(df, found_blocks) if decode else df.withColumns(found_blocks)
     df = (
-        df.withColumn("_wants_pem", F.coalesce(wants_pem, F.lit(False)))
-        .withColumn("_blocks", blocks)
-        .withColumn("_block", F.get("_blocks", F.lit(0)))
+        df.withColumn("_block", F.get("_blocks", F.lit(0)))
         .withColumn("_n_blocks", F.coalesce(F.size("_blocks"), F.lit(0))))
     if decode:
         content = F.col("content") if "content" in columns else F.lit(None).cast("binary")
-        df = df.withColumn("_der", F.when(is_der, content).otherwise(_pem_bytes(F.col("_block"))))
+        df = computed_once(df, {"_der": F.when(is_der, content).otherwise(_pem_bytes(F.col("_block")))})
         df = df.withColumn("_x", decode_x509("_der"))
     else:
         df = df.withColumn("_der", F.lit(None).cast("binary"))

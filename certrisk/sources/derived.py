@@ -8,6 +8,8 @@ columns, which is what the oracle SQL computes, without parsing any text.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,6 +191,12 @@ def element(tag: int, *parts: bytes) -> bytes:
     return bytes([tag, 0x80 | len(raw)]) + raw + body
 
 
+NAME_IDS = {v: n for n, v in k.NAME_OIDS.items()}
+SIGNATURE_IDS = {v: n for n, v in k.SIGNATURE_OIDS.items()}
+CURVE_IDS = {v: n for n, v in k.CURVE_BITS.items()}
+
+
+@lru_cache
 def object_id(dotted: str) -> bytes:
     first, second, *rest = map(int, dotted.split("."))
     out = bytearray()
@@ -202,12 +210,11 @@ def object_id(dotted: str) -> bytes:
 
 def make_der(cn, org, country, issuer_cn, start, end, bits, key_type, signature, san) -> bytes:
     """An unsigned test certificate with the given fields."""
-    oids = {v: n for n, v in k.NAME_OIDS.items()}
-    sig_oid = {v: n for n, v in k.SIGNATURE_OIDS.items()}[signature]
+    sig_oid = SIGNATURE_IDS[signature]
 
     def name(**fields):
         return element(0x30, *[
-            element(0x31, element(0x30, object_id(oids[key]), element(0x0C, value.encode())))
+            element(0x31, element(0x30, object_id(NAME_IDS[key]), element(0x0C, value.encode())))
             for key, value in fields.items() if value is not None])
 
     def time(day):
@@ -217,7 +224,7 @@ def make_der(cn, org, country, issuer_cn, start, end, bits, key_type, signature,
         return element(0x18, day.strftime("%Y%m%d000000Z").encode())
 
     if key_type == "EC":
-        curve = {v: n for n, v in k.CURVE_BITS.items()}[bits]
+        curve = CURVE_IDS[bits]
         key = element(0x30, element(0x30, object_id("1.2.840.10045.2.1"), object_id(curve)),
                       element(0x03, b"\0\4" + bytes(2 * ((bits + 7) // 8))))
     else:

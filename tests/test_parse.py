@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from certrisk.functions import x509
 from certrisk.functions.dates import with_validity
 from certrisk.functions.names import parse_dn
+from certrisk.functions.x509 import moment
 from certrisk.operators.parse import parse, parse_certificate
+from certrisk.sources.captures import file_type
 from certrisk.sources.derived import make_der
 from helpers import one, raw, value
 
@@ -209,3 +211,21 @@ def test_against_openssl(spark):
         for name, long_name in (("CN", "commonName"), ("O", "organizationName")):
             if name in row.subject:
                 assert f"{long_name}" in out and row.subject[name] in out, f
+
+
+def test_each_step_of_a_certificate_is_computed_once(spark):
+    """Text and type given as expressions are not written into every place that reads them."""
+    block = F.concat(F.lit("-----BEGIN CERTIFICATE-----\n"), F.base64("der"), F.lit("\n-----END CERTIFICATE-----\n"))
+    rows = spark.createDataFrame([(bytearray(b"0"),)], "der binary").withColumn("text", F.concat(block, block)).select(
+        F.lit("p").alias("path"), F.lit("f").alias("file_name"), F.lit("benign").alias("label"),
+        file_type(F.col("text").cast("binary")).alias("file_type"), "text")
+    plan = parse(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("BEGIN CERTIFICATE") < 20
+
+
+def test_moments_out_of_the_common_form():
+    assert moment(0x17, b"240229000000Z").isoformat() == "2024-02-29T00:00:00+00:00"
+    assert moment(0x17, b"490101000000Z").year == 2049 and moment(0x17, b"500101000000Z").year == 1950
+    for bad in (b"230229000000Z", b"2301010000Z00Z", b"23010100000000"):
+        with pytest.raises(ValueError, match="does not match format|day is out of range|unconverted"):
+            moment(0x17, bad)

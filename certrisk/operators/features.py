@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from certrisk.config import DEFAULT, RiskConfig
 from certrisk.functions import text as tx
 from certrisk.functions.names import sorted_entries
+from certrisk.session import staged
 
 
 def _flag(condition: Column) -> Column:
@@ -137,11 +138,31 @@ def add_helpers(df: DataFrame, config: RiskConfig = DEFAULT) -> DataFrame:
     return df.withColumn("_similarity", brand_similarity(F.col("_cn_lower"), config.brands))
 
 
+def _flat_features(
+    df: DataFrame, config: RiskConfig, keep_text: bool, names: tuple[str, ...] | None,
+) -> tuple[DataFrame, list[str]]:
+    """One column ``_f_<name>`` per feature (all, or those of ``names``), and the features in their order."""
+    columns = {
+        **structural(), **lexical(), **identity(config), **statistical(config), **temporal()}
+    if names is not None:
+        columns = {n: c for n, c in columns.items() if n in names}
+    out = add_helpers(tx.with_text_steps(df, "raw_text"), config)
+    out = out.withColumns({f"_f_{n}": c for n, c in columns.items()})
+    out = out.drop("_cn", "_cn_lower", "_issuer_lower", "_similarity", *tx.TEXT_STEPS)
+    return (out if keep_text else out.drop("raw_text", "pem")), list(columns)
+
+
+def _with_struct(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumn("features", F.struct(
+        *[F.col(f"_f_{n}").alias(n) for n in names], F.col("issuer_frequency"))
+    ).drop(*[f"_f_{n}" for n in names], "issuer_frequency")
+
+
 def add_features(
     df: DataFrame, frequencies: DataFrame | None = None, config: RiskConfig = DEFAULT,
-    keep_text: bool = True,
+    keep_text: bool = True, names: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Add a ``features`` struct to parsed certificates.
+    """Add a ``features`` struct to parsed certificates; ``names`` are the features wanted, all by default.
 
     ``frequencies`` is the fitted issuer table; without it ``issuer_frequency``
     stays NULL. ``keep_text=False`` drops the capture text before the issuer
@@ -149,18 +170,25 @@ def add_features(
     """
     from certrisk.operators.issuers import add_issuer_frequency
 
-    columns = {
-        **structural(), **lexical(), **identity(config), **statistical(config), **temporal()}
     # Flat until the end, so that columns nobody asks for are pruned below the join.
-    out = add_helpers(tx.with_text_steps(df, "raw_text"), config)
-    out = out.withColumns({f"_f_{n}": c for n, c in columns.items()})
-    out = out.drop("_cn", "_cn_lower", "_issuer_lower", "_similarity", *tx.TEXT_STEPS)
-    if not keep_text:
-        out = out.drop("raw_text", "pem")
-    out = add_issuer_frequency(out, frequencies)
-    return out.withColumn("features", F.struct(
-        *[F.col(f"_f_{n}").alias(n) for n in columns], F.col("issuer_frequency"))
-    ).drop(*[f"_f_{n}" for n in columns], "issuer_frequency")
+    out, found = _flat_features(df, config, keep_text, names)
+    return _with_struct(add_issuer_frequency(out, frequencies), found)
+
+
+def add_fitted_features(
+    df: DataFrame, keep: tuple[str, ...], names: tuple[str, ...] | None = None, config: RiskConfig = DEFAULT,
+) -> DataFrame:
+    """``keep`` (with ``path``) and ``features`` of parsed certificates, their issuer table fitted on themselves.
+
+    The table needs every row before the first feature row can be finished. So the flat features are staged, without the
+    text, and the issuers counted and looked up there: the text is parsed once.
+    """
+    from certrisk.operators.issuers import add_keyed, fit_keyed, with_issuer_key
+
+    out, found = _flat_features(df, config, False, names)
+    kept = dict.fromkeys(["path", *keep])
+    rows = staged(with_issuer_key(out).select(*kept, "issuer_key", *[f"_f_{n}" for n in found]), "flat-features")
+    return _with_struct(add_keyed(rows, fit_keyed(rows)), found).select(*kept, "features")
 
 
 def extract_features(

@@ -20,8 +20,12 @@ def fit_issuer_frequencies(df: DataFrame, path: str | None = None) -> DataFrame:
     Counting is partially done before the shuffle, so a common issuer costs one
     row per task. Self-signed certificates make the table grow with the corpus.
     """
-    keys = with_issuer_key(df.select("issuer")).select("issuer_key")
-    counts = staged(keys.groupBy("issuer_key").agg(F.count("*").alias("issuer_n")), "issuer-counts")
+    return fit_keyed(with_issuer_key(df.select("issuer")), path)
+
+
+def fit_keyed(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The issuer table of rows with ``issuer_key``."""
+    counts = staged(df.groupBy("issuer_key").agg(F.count("*").alias("issuer_n")), "issuer-counts")
     return frequencies_of(counts, path)
 
 
@@ -39,8 +43,12 @@ def add_issuer_frequency(
     """Add ``issuer_frequency``: 0 for an unseen issuer, NULL when nothing was fitted."""
     if frequencies is None:
         return df.withColumn("issuer_frequency", F.lit(None).cast("double"))
+    return add_keyed(with_issuer_key(df), frequencies, broadcast_rows)
+
+
+def add_keyed(df: DataFrame, frequencies: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``issuer_frequency`` to rows with ``issuer_key``, which goes."""
     table = frequencies.select("issuer_key", "issuer_n", "issuer_frequency")
-    joined = lookup(with_issuer_key(df), table, "issuer_key", "issuer_n", "path",
-                    broadcast_rows)
+    joined = lookup(df, table, "issuer_key", "issuer_n", "path", broadcast_rows)
     return joined.drop("issuer_key", "issuer_n").withColumn(
         "issuer_frequency", F.coalesce("issuer_frequency", F.lit(0.0)))

@@ -23,6 +23,13 @@ class Rule:
     description: str = ""
 
 
+#: The features the default rules read, beside ``issuer_frequency``.
+RULE_FEATURES = (
+    "validity_days", "pubkey_bits", "sig_is_sha1", "sig_is_md5", "subject_has_punycode", "san_has_punycode",
+    "subject_has_homoglyphs", "is_brand_typosquatting", "is_self_signed", "has_url", "suspicious_keyword_count",
+    "chain_length", "has_san", "max_brand_similarity")
+
+
 def default_rules(config: RiskConfig = DEFAULT) -> list[Rule]:
     conditions = {
         "short_validity_period": lambda f: (f["validity_days"] > 0)

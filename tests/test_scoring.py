@@ -14,10 +14,12 @@ from certrisk.operators import features as ft
 from certrisk.operators.ensemble import LLM_TYPE, ML_TYPE, add_verdict, count_at_threshold
 from certrisk.operators.issuers import add_issuer_frequency, fit_issuer_frequencies
 from certrisk.operators.lookup import is_small, lookup
-from certrisk.operators.rules import Rule, add_rules, default_rules, rule_catalogue, rule_hits
+from certrisk.operators.rules import RULE_FEATURES, Rule, add_rules, default_rules, rule_catalogue, rule_hits
 from certrisk.operators.sampling import sample_per_class, split_name
+from certrisk.plans.queries import ruled_dumps
 from certrisk.session import staged
-from helpers import one, parsed, value
+from conftest import SF
+from helpers import one, parsed, rows_of, value
 
 TEXTS = ["", "a", "Abc 123 !?", "naïve café №5 ² Ⅷ Ⓐ", "日本語テキスト😀", "tab\tnbsp em x\x1c", "aaaa",
          "see https://a.b/c and http://d 10.0.0.1 1.2.3.4.5 é1.2.3.4 VERIFY verification Account"]
@@ -312,3 +314,20 @@ def test_split_shares(spark):
     df = spark.range(20_000).select(F.col("id").cast("string").alias("path"))
     n = {r[0]: r[1] / 20_000 for r in df.groupBy(split_name("path")).count().collect()}
     assert abs(n["train"] - 0.7) < 0.01 and abs(n["validation"] - 0.15) < 0.01
+
+
+def test_a_scoring_plan_parses_once_and_counts_no_characters(spark):
+    """The rules read few features; the text is parsed for these and for the issuer table together."""
+    plan = ruled_dumps(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CONNECTED(" not in plan and "entropy" not in plan
+
+
+def test_fitted_features_are_those_of_a_table_fitted_before(spark):
+    df = parsed(spark).withColumn("path", F.lit("p/1")).union(parsed(spark, issuer={"CN": "Other"})).union(
+        parsed(spark, path="p/2", issuer={}, raw_text="", label=None))
+    before = ft.add_features(df, fit_issuer_frequencies(df), keep_text=False)
+    names = tuple(n for n in before.schema["features"].dataType.names if n != "issuer_frequency")
+    assert rows_of(ft.add_fitted_features(df, ("label",), names).select("path", "label", "features")) == rows_of(
+        before.select("path", "label", "features"))
+    some = ft.add_fitted_features(df, ("label",), RULE_FEATURES)
+    assert rows_of(add_rules(some).select("path", "rules")) == rows_of(add_rules(before).select("path", "rules"))

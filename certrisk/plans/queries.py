@@ -131,13 +131,15 @@ def supplier_dumps(spark: SparkSession, d: str) -> DataFrame:
         key.alias("k"), label.alias("label"), text.alias("text"))
 
 
+def file_tasks(spark: SparkSession, d: str) -> int:
+    """Tasks to write a file per supplier with, as a task writes its files one after the other."""
+    return max(spark.sparkContext.defaultParallelism, table(spark, d, "supplier").count() // 1000)
+
+
 def supplier_files(spark: SparkSession, d: str) -> str:
     """Write the supplier captures as one file each below benign/ and phishing/."""
     root = new_path(spark, "captures")
-    rows = supplier_dumps(spark, d)
-    # A task writes its files one after the other.
-    rows = rows.repartition(max(
-        spark.sparkContext.defaultParallelism, table(spark, d, "supplier").count() // 1000), "k")
+    rows = supplier_dumps(spark, d).repartition(file_tasks(spark, d), "k")
     for label in ("benign", "phishing"):
         (rows.filter(F.col("label") == label).select("text")
          .write.option("maxRecordsPerFile", 1).text(f"{root}/{label}"))
@@ -235,7 +237,7 @@ def incremental_captures(spark: SparkSession, d: str) -> DataFrame:
 
 def grow(spark: SparkSession, d: str, root: str, chosen: Column, name: str) -> None:
     """One more file below benign/ or phishing/ for each chosen supplier."""
-    rows = supplier_dumps(spark, d).filter(chosen).repartition(8, "k")
+    rows = supplier_dumps(spark, d).filter(chosen).repartition(file_tasks(spark, d), "k")
     for label in ("benign", "phishing"):
         rows.filter(F.col("label") == label).select("text").write.option("maxRecordsPerFile", 1).text(f"{root}/{label}/{name}")
 

@@ -20,7 +20,7 @@ from certrisk.config import DEFAULT, RiskConfig
 from certrisk.functions.text import strip_accents
 from certrisk.operators.ensemble import ML_TYPE
 from certrisk.operators.logistic import class_weights, fit_logistic
-from certrisk.operators.vocabulary import term_stats, vocabulary
+from certrisk.operators.vocabulary import gram_vocabulary
 from certrisk.session import staged
 
 NUMERIC = tuple(f"x_{name}" for name in k.MODEL_COLUMNS)
@@ -47,6 +47,11 @@ def term_stages() -> list:
     ]
 
 
+def with_words(df: DataFrame) -> DataFrame:
+    """Add the words alone, ``x_words``."""
+    return term_stages()[0].transform(df)
+
+
 def with_terms(df: DataFrame) -> DataFrame:
     for stage in term_stages():
         df = stage.transform(df)
@@ -125,7 +130,7 @@ def train(
 
     Text: term counts of the most frequent 1- to 3-grams (ties by term), scaled by smoothed
     inverse document frequency plus one, to unit length. Numbers: standardised.
-    Both stay one sparse vector. The text is tokenised twice, for the vocabulary and for the vectors.
+    Both stay one sparse vector. The text is tokenised once for each length of terms, and once for the vectors.
     The model type "numbers" leaves the text out.
     """
     if config.model_type not in MODEL_TYPES:
@@ -135,8 +140,7 @@ def train(
     if config.model_type == "numbers":
         return _train_numbers(rows, frequencies, config)
     n = rows.count()
-    words = vocabulary(term_stats(with_terms(rows), "x_terms"), n, config.tfidf_terms, config.tfidf_min_df,
-                       config.tfidf_max_df)
+    words = gram_vocabulary(with_words(rows), "x_words", n, config.tfidf_terms, config.tfidf_min_df, config.tfidf_max_df)
     # At most ``tfidf_terms`` rows.
     chosen = words.select("term", "idf").orderBy("position").collect()
     if not chosen:

@@ -17,12 +17,12 @@ from certrisk.operators import prompting
 from certrisk.operators.ensemble import LLM_TYPE, ML_TYPE, add_verdict, count_at_threshold, llm_score
 from certrisk.operators.issuers import add_issuer_frequency, fit_issuer_frequencies
 from certrisk.operators.logistic import LogisticFit, fit_logistic
-from certrisk.operators.model import numeric_scaling, train, with_terms
+from certrisk.operators.model import numeric_scaling, train, with_words
 from certrisk.operators.parse import parse
 from certrisk.operators.rules import RULE_FEATURES, add_rules, rule_hits
 from certrisk.operators.sampling import sample_per_class, split_name
 from certrisk.operators.similar import similar_top_k
-from certrisk.operators.vocabulary import term_stats, tfidf_weights as weigh, vocabulary
+from certrisk.operators.vocabulary import gram_stats, gram_vocabulary, term_stats, tfidf_weights as weigh
 from certrisk.plans import jobs
 from certrisk.session import new_path, staged
 from certrisk.sources.captures import file_type, load_dataset
@@ -679,7 +679,7 @@ def response_resume(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_terms(spark: SparkSession, d: str) -> DataFrame:
-    return with_terms(documents(spark, d).select(
+    return with_words(documents(spark, d).select(
         "doc_id", strip_accents(F.lower("text")).alias("x_text")))
 
 
@@ -691,7 +691,7 @@ def term_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def ngram_stats(spark: SparkSession, d: str) -> DataFrame:
     """Vocabulary candidates by n-gram length: terms of two or more documents."""
-    rows = term_stats(document_terms(spark, d), "x_terms").filter("documents >= 2")
+    rows = gram_stats(document_terms(spark, d), "x_words", 3).filter("documents >= 2")
     return rows.groupBy(F.size(F.split("term", " ")).cast("bigint").alias("words")).agg(
         F.count("*").alias("terms"), F.sum("occurrences").alias("occurrences"),
         F.max("documents").alias("max_documents"))
@@ -701,7 +701,8 @@ def ngram_stats(spark: SparkSession, d: str) -> DataFrame:
 def top_terms(spark: SparkSession, d: str) -> DataFrame:
     """The 300 terms most frequent in documents of one to three words, where many are equally frequent."""
     rows = document_terms(spark, d)
-    return vocabulary(term_stats(rows, "x_terms"), rows.count(), 300, 2.0, 0.9).select(
+    n = table(spark, d, "documents").count()
+    return gram_vocabulary(rows, "x_words", n, 300, 2.0, 0.9).select(
         F.col("position").cast("bigint").alias("position"), "term", "occurrences", "documents", r6("idf").alias("idf"))
 
 
@@ -709,8 +710,8 @@ def top_terms(spark: SparkSession, d: str) -> DataFrame:
 def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
     """Weight of every vocabulary term in every document that holds it."""
     rows = document_terms(spark, d)
-    words = vocabulary(term_stats(rows, "x_terms"), rows.count(), 300, 2.0, 0.9)
-    return weigh(rows, "doc_id", "x_terms", words).select("doc_id", "term", "n", r6("weight").alias("weight"))
+    words = gram_vocabulary(rows, "x_words", table(spark, d, "documents").count(), 300, 2.0, 0.9)
+    return weigh(rows, "doc_id", "x_words", words, 3).select("doc_id", "term", "n", r6("weight").alias("weight"))
 
 
 #: Numbers of the small model, which the SQL knows without parsing.

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -131,3 +132,69 @@ def test_numbers_model(spark, fitted, tmp_path):  # noqa: F811
     assert loaded.model_type == "numbers" and loaded.vocabulary == []
     a, b = ({r.path: tuple(r.probability) for r in m.predict_proba(rows).collect()} for m in (model, loaded))
     assert a == b and all(abs(sum(p) - 1) < 1e-12 for p in a.values())
+
+
+ODD_WORDS = [["b", "a"] * 6, ["a", "b", "c"] * 3, ["c"], [], None, ["a"] * 5, ["rare", "a", "b"], ["a", "b", "c", "d", "rare"]]
+
+
+def grams_by_hand(lists, shortest, longest):
+    tf, df = Counter(), Counter()
+    for words in lists:
+        words = words or []
+        own = [" ".join(words[i:i + n]) for n in range(shortest, longest + 1) for i in range(len(words) - n + 1)]
+        tf.update(own)
+        df.update(set(own))
+    return {t: (tf[t], df[t]) for t in tf}
+
+
+@pytest.mark.parametrize("slice_terms", [1, 7, 1 << 20])
+def test_grams_are_counted_by_batch(spark, monkeypatch, slice_terms):
+    """Neither rows nor slices lend words to each other's terms."""
+    lists = pa.array(ODD_WORDS, pa.list_(pa.string()))
+    monkeypatch.setattr(vc, "SLICE_TERMS", slice_terms)
+    got = Counter()
+    for _, piece in vc._slices(lists):
+        for terms, term, row in vc.grams(piece, 1, 3, None, False):
+            got.update(terms.take(pa.array(term)).to_pylist())
+            assert len(term) == len(row)
+    assert got == {t: n for t, (n, _) in grams_by_hand(ODD_WORDS, 1, 3).items()}
+
+
+def test_gram_stats(spark):
+    rows = spark.createDataFrame([(w,) for w in ODD_WORDS * 2], "w array<string>").repartition(3)
+    got = {r.term: (r.occurrences, r.documents) for r in vc.gram_stats(rows, "w", 3).collect()}
+    assert got == grams_by_hand(ODD_WORDS * 2, 1, 3)
+
+
+@pytest.mark.parametrize("most, least, greatest", [(1, 1, 1.0), (4, 2, 0.9), (6, 2, 0.3), (1000, 1, 1.0), (1000, 3, 1.0)])
+def test_pruned_vocabulary_is_the_whole_one(spark, most, least, greatest):
+    """Terms left uncounted are none of the chosen, also where all terms are chosen or the commonest words are not."""
+    rng = np.random.default_rng(5)
+    lists = ODD_WORDS + [[f"w{min(int(x), 40)}" for x in rng.zipf(1.4, 30)] for _ in range(40)]
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(lists)], "k int, w array<string>")
+    words = vc.gram_vocabulary(rows, "w", len(lists), most, least, greatest)
+    counted = grams_by_hand(lists, 1, 3)
+    fit = [t for t, (_, df) in counted.items() if least <= df <= greatest * len(lists)]
+    chosen = sorted(fit, key=lambda t: (-counted[t][0], t))[:most]
+    assert [r.term for r in words.orderBy("position").collect()] == chosen
+    idf = {t: math.log((1 + len(lists)) / (1 + counted[t][1])) + 1 for t in chosen}
+    want = {}
+    for k, own in enumerate(lists):
+        w = {t: n * idf[t] for t, (n, _) in grams_by_hand([own], 1, 3).items() if t in idf}
+        want |= {(k, t): round(x / math.sqrt(sum(y * y for y in w.values())), 12) for t, x in w.items()}
+    got = vc.tfidf_weights(rows, "k", "w", words, 3).collect()
+    assert {(r.k, r.term): round(r.weight, 12) for r in got} == want and len(got) == len(want)
+
+
+def test_terms_that_cannot_be_chosen_are_not_counted(spark):
+    """Of words that all occur once beside a few common ones, no n-gram is counted."""
+    rows = spark.createDataFrame([([f"x{k}-{i}" for i in range(50)] + ["a", "b"] * 4,) for k in range(20)], "w array<string>")
+    kept = vc.bitmap(spark.createDataFrame([("a",), ("b",)], "term string"))
+    got = {r.term: r.occurrences for r in vc.gram_stats(rows, "w", 2, 2, kept).collect()}
+    assert got["a b"] == 80 and got["b a"] == 60 and len(got) < 10  # a word may share a bit with one that is kept
+
+
+def test_bitmap_has_every_term(spark):
+    terms = [f"t{k}" for k in range(3_000)] + ["", "ß", "日本"]
+    kept = vc.bitmap(spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert kept[vc._places(pa.array(terms))].all() and kept.sum() <= len(terms) and len(kept) == vc.KEPT_BITS

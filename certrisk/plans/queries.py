@@ -760,7 +760,7 @@ def predicted_labels(spark: SparkSession, d: str) -> DataFrame:
 @query
 def train_and_evaluate(spark: SparkSession, d: str) -> DataFrame:
     """Classifier on labelled documents; its metrics on the rows it was fitted on."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = documents(spark, d)  # spread: the staged rows are read in as many pieces, several times
     none = F.lit(None).cast("string")
     empty_map = F.create_map().cast("map<string,string>")
     empty = F.array().cast("array<string>")

@@ -11,7 +11,9 @@ Digests are counted before the shuffle, and a digest held by many documents is a
 one plain join, which adaptive execution splits. Texts are shuffled once, to meet their spans.
 
 Units see a passage only as whole lines. With ``passage_words`` the passages of that many words
-that another document has too, inside lines or across them, are reported as well (``passages``); they stay.
+that another document has too, inside lines or across them, are reported as well (``passages``); they stay. With
+``cut_passages`` the passages are those that a document before has, in the same order, and they are removed like units, from the
+first character of their first word to the last one of their last: each text keeps what no earlier one has.
 
 Defined results: a null text stays null; documents equal in ``doc_id`` and text are one
 document, and all its rows are treated alike; a null ``doc_id`` ranks first; an empty table
@@ -35,6 +37,8 @@ SPANS = "array<struct<start:long,end:long>>"
 _UNITS = pa.schema([("u_id", pa.int64()), ("u_hash", pa.int64()), ("start", pa.int64()),
                     ("end", pa.int64()), ("digest", pa.binary())])
 _NOT_WORD = re.compile(r"[\W_]+")
+#: The words of ``passages``.
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FLUSH_ROWS = 20_000
 
 
@@ -111,10 +115,35 @@ def without_spans(text: Column, spans: Column) -> Column:
     return F.when(spans.isNotNull() & (F.size(spans) > 0), cut(text, spans)).otherwise(text)
 
 
-def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10, passage_words: int | None = None) -> DataFrame:
+def with_passages(text: Column, spans: Column, passages: Column) -> Column:
+    """``spans`` (code points) and the places of the passages in ``text``, joined where they meet, in order."""
+
+    @F.arrow_udf(SPANS)
+    def joined(texts: pa.Array, units: pa.Array, runs: pa.Array) -> pa.Array:
+        out = []
+        for body, cuts, words in zip(texts, units, runs):
+            places = [(s["start"], s["end"]) for s in cuts.as_py() or ()]
+            if words := words.as_py():
+                at = [m.span() for m in _WORD.finditer(body.as_py())]
+                places += [(at[w["first"]][0], at[w["last"]][1]) for w in words]
+            merged: list[dict] = []
+            for start, end in sorted(places):
+                if merged and start <= merged[-1]["end"]:
+                    merged[-1]["end"] = max(end, merged[-1]["end"])
+                else:
+                    merged.append({"start": start, "end": end})
+            out.append(merged)
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+
+    return joined(text, spans, passages)
+
+
+def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10, passage_words: int | None = None,
+                cut_passages: bool = False) -> DataFrame:
     """``docs`` with repeated units cut from ``text``, and ``removed``: their original places.
 
     With ``passage_words`` also ``passages``: first and last word (counted from 0, before the cuts) of each shared passage.
+    With ``cut_passages`` as well, passages that an earlier document has are cut too, and ``removed`` joins them with the units.
     """
     bounded_batches(docs.sparkSession)
     extra = {} if passage_words is None else {"passages": PASSAGES}
@@ -122,11 +151,13 @@ def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = 10, pas
     u_id, u_hash = unused(docs, "unit_id"), unused(docs, "unit_hash")
     spans = repeated_spans(unit_digests(docs, separator, min_words))
     if passage_words is not None:
-        both = spans.unionByName(shared_passages(docs, passage_words), allowMissingColumns=True)
+        both = spans.unionByName(shared_passages(docs, passage_words, later=cut_passages), allowMissingColumns=True)
         spans = both.groupBy("u_id", "u_hash").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("removed", *extra)])
     spans = spans.select(F.col("u_id").alias(u_id), F.col("u_hash").alias(u_hash), "removed", *extra)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(u_id)) & (F.xxhash64("text") == F.col(u_hash))
     joined = docs.join(spans, same, "left").drop(u_id, u_hash)
+    if passage_words is not None and cut_passages:
+        joined = joined.withColumn("removed", with_passages(F.col("text"), F.col("removed"), F.col("passages")))
     return joined.withColumns({
         "text": without_spans(F.col("text"), F.col("removed")),
         "removed": F.coalesce("removed", F.array().cast(SPANS)),

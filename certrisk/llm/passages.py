@@ -104,10 +104,11 @@ def window_digests(wanted: DataFrame, words: int) -> DataFrame:
     return wanted.mapInArrow(find, _WINDOW)
 
 
-def shared_windows(docs: DataFrame, words: int = 50, gram: int = 10) -> DataFrame:
+def shared_windows(docs: DataFrame, words: int = 50, gram: int = 10, later: bool = False) -> DataFrame:
     """``u_id, u_hash, first, last``: runs of windows, by number of their first word, that another document has too.
 
-    ``u_id`` is ``doc_id`` and ``u_hash`` the xxhash64 of the text.
+    ``u_id`` is ``doc_id`` and ``u_hash`` the xxhash64 of the text. With ``later`` only the windows that a document
+    before has, in the order of (``u_id``, ``u_hash``), so that one document keeps each window.
     """
     bounded_batches(docs.sparkSession)
     table = staged(stretch_table(docs, words, gram), "word-stretches")
@@ -117,10 +118,11 @@ def shared_windows(docs: DataFrame, words: int = 50, gram: int = 10) -> DataFram
     disputed = kinds.groupBy(F.col("gram").alias("_g")).agg((F.count("*") > 1).alias("disputed"))
     met = (kinds.join(disputed.hint("merge"), F.col("gram") == F.col("_g")).filter("whole OR disputed")
            .select(F.col("gram").alias("_gram"), F.col("kind").alias("_kind"), "holder", "whole", "disputed"))
+    own = holder.eqNullSafe(F.col("holder"))
     marked = staged(table.join(met.hint("merge"), (F.col("gram") == F.col("_gram")) & (F.col("kind") == F.col("_kind"))).select(
-        "u_id", "u_hash", "first", "size", "whole",
-        (F.col("disputed") & (~F.col("whole") | holder.eqNullSafe(F.col("holder")))).alias("compared")), "word-marked")
-    runs = marked.filter("whole").select("u_id", "u_hash", "first", (F.col("first") + F.col("size") - 1).alias("last"))
+        "u_id", "u_hash", "first", "size", "whole", own.alias("own"),
+        (F.col("disputed") & (~F.col("whole") | own)).alias("compared")), "word-marked")
+    runs = marked.filter("whole AND NOT own" if later else "whole").select("u_id", "u_hash", "first", (F.col("first") + F.col("size") - 1).alias("last"))
     per_text = marked.filter("compared").groupBy(F.col("u_id").alias("w_id"), F.col("u_hash").alias("w_hash")).agg(
         F.collect_set(F.struct("first", "size", "whole")).alias("wanted"))
     same = F.col("u_id").eqNullSafe(F.col("w_id")) & (F.col("u_hash") == F.col("w_hash"))
@@ -128,14 +130,19 @@ def shared_windows(docs: DataFrame, words: int = 50, gram: int = 10) -> DataFram
                      "word-windows")
     repeated = (windows.groupBy(F.col("low").alias("_l"), F.col("high").alias("_h"))
                 .agg(F.min(holder).alias("a"), F.max(holder).alias("b"), F.max("whole").alias("whole_too"))
-                .filter("whole_too OR NOT (a <=> b)").select("_l", "_h"))
-    single = (windows.filter("NOT whole").join(repeated.hint("merge"), (F.col("low") == F.col("_l")) & (F.col("high") == F.col("_h")))
+                .filter("NOT (a <=> b)" if later else "whole_too OR NOT (a <=> b)").select("_l", "_h", "a"))
+    # Of a whole stretch its first holder alone is compared: ``a`` is the first of all documents with the window.
+    single = (windows.filter("true" if later else "NOT whole").join(repeated.hint("merge"), (F.col("low") == F.col("_l")) & (F.col("high") == F.col("_h")))
+              .filter(~holder.eqNullSafe(F.col("a")) if later else F.lit(True))
               .select("u_id", "u_hash", "first", F.col("first").alias("last")))
     return runs.unionByName(single)
 
 
-def shared_passages(docs: DataFrame, words: int = 50, gram: int = 10) -> DataFrame:
-    """``u_id, u_hash, passages``: runs of words (first, last) that shared windows cover, of each text that has any."""
+def shared_passages(docs: DataFrame, words: int = 50, gram: int = 10, later: bool = False) -> DataFrame:
+    """``u_id, u_hash, passages``: runs of words (first, last) that shared windows cover, of each text that has any.
+
+    ``later``: see ``shared_windows``.
+    """
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +159,7 @@ def shared_passages(docs: DataFrame, words: int = 50, gram: int = 10) -> DataFra
                 "u_id": batch.column("u_id"), "u_hash": batch.column("u_hash"),
                 "passages": pa.array(out, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))})
 
-    return (shared_windows(docs, words, gram).groupBy("u_id", "u_hash")
+    return (shared_windows(docs, words, gram, later).groupBy("u_id", "u_hash")
             .agg(F.collect_set(F.struct("first", "last")).alias("runs"))
             .mapInArrow(joined, f"u_id long, u_hash long, passages {PASSAGES}"))
 

@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier one has."""
-    return with_length(dedup_units(docs), docs)
+    """All documents, without the lines and the passages of fifty words that an earlier one has."""
+    return with_length(dedup_units(docs, passage_words=50, cut_passages=True), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

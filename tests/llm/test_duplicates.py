@@ -1,10 +1,12 @@
 """Substring, line and set duplicates against brute force."""
 
+import functools
 import hashlib
 import random
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from cases import corpus, empty, table
@@ -12,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from certrisk.llm import line_dedup
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.passages import shared_windows, stretches
 from certrisk.llm.quality_rules import kept_documents
@@ -240,3 +243,51 @@ def test_set_group_connects_all_links():
 
 def test_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+@pytest.mark.parametrize("words, gram", [(12, 4), (50, 10)])
+def test_later_passages_are_cut(spark, words, gram, monkeypatch):
+    """Of each window of words the first document keeps its own; the others lose it, inside lines and across them."""
+    rng = random.Random(words)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 6))) for _ in range(n))
+
+    passage, long, twice = prose(words + 3), prose(words * 4), prose(words)
+    other = long.split()[:words * 2] + prose(words).split() + long.split()[words * 2:]
+    texts = [f"{prose(9)} {passage} {prose(4)}", f"{prose(5)}\n{passage.upper()} {prose(5)}", passage.replace(" ", "\n", 3), f"é {passage}ß",
+             long, f"{prose(7)}  {long}", " ".join(other), " ".join(other[words:]), f"{twice} x {twice}", prose(words * 2),
+             " ".join(passage.split()[:words - 1]), "", f"{prose(3)} {long} {passage}", long, " ".join(long.split()[5:])]
+    rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)] + [(50, None, "en", "s", 1), (4, long, "en", "s", 1), (None, twice, "en", "s", 1)]
+    met, want = set(), {}
+    for doc_id, text in sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: -1 if r[0] is None else r[0]):
+        places = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        body = [text[a:b].translate({c: c + 32 for c in range(65, 91)}) for a, b in places]
+        windows = [tuple(body[i:i + words]) for i in range(len(body) - words + 1)]
+        covered = np.zeros(len(body), bool)
+        for i, w in enumerate(windows):
+            if w in met:
+                covered[i:i + words] = True
+        met |= set(windows)
+        gone = np.zeros(len(text), bool)
+        for i in np.flatnonzero(covered):  # words next to each other go with what is between them
+            gone[places[i][0]:places[i + 1][0] if i + 1 < len(body) and covered[i + 1] else places[i][1]] = True
+        want[doc_id, text] = "".join(c for c, g in zip(text, gone) if not g)
+    shared = functools.partial(line_dedup.shared_passages, gram=gram)
+    monkeypatch.setattr(line_dedup, "shared_passages", shared)
+    docs = table(spark, rows)
+    out = dedup_units(docs, min_words=10_000, passage_words=words, cut_passages=True)
+    own = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = out.select("doc_id", "text", "removed").collect()
+    assert {(r.doc_id, own[r.doc_id]): r.text for r in got if r.text is not None} == want and len(got) == len(rows)
+    assert all(own[r.doc_id] is not None or r.text is None for r in got)
+    assert any(len(t) < len(k[1]) for k, t in want.items())
+
+
+def test_pipeline_cuts_passages_inside_lines(spark):
+    rng = random.Random(8)
+    passage = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))
+    rows = [(k, f"start {k} {passage} {k} end", "en", "s", 1) for k in range(3)]
+    out = corpus_pipeline.repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int"), "")
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {
+        0: (rows[0][1], len(rows[0][1])), 1: ("start 1  1 end", 14), 2: ("start 2  2 end", 14)}

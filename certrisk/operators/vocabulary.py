@@ -23,7 +23,7 @@ from certrisk.session import staged
 
 #: Entries counted at a time. A row with more is counted by itself.
 SLICE_TERMS = 1 << 20
-#: Bits of the bitmap (512 KB), and those of one row of it, as Spark's bitmap functions cut it.
+#: Places of the bitmap, gathered as 512 KB of bits, and those of one row of it, as Spark's bitmap functions cut it.
 KEPT_BITS, BITMAP_BITS = 1 << 22, 1 << 15
 
 

@@ -26,7 +26,7 @@ from certrisk.operators.vocabulary import gram_stats, gram_vocabulary, term_stat
 from certrisk.plans import jobs
 from certrisk.session import new_path, staged
 from certrisk.sources.captures import file_type, load_dataset
-from certrisk.sources.derived import cert_ders, cert_dumps, properties, spoil, spread, table
+from certrisk.sources.derived import cert_ders, cert_dumps, properties, spoil, spread, table, write_files
 from certrisk.sources.records import read_jsonl
 from certrisk.streaming.watch import watch_directory
 
@@ -139,10 +139,7 @@ def file_tasks(spark: SparkSession, d: str) -> int:
 def supplier_files(spark: SparkSession, d: str) -> str:
     """Write the supplier captures as one file each below benign/ and phishing/."""
     root = new_path(spark, "captures")
-    rows = supplier_dumps(spark, d).repartition(file_tasks(spark, d), "k")
-    for label in ("benign", "phishing"):
-        (rows.filter(F.col("label") == label).select("text")
-         .write.option("maxRecordsPerFile", 1).text(f"{root}/{label}"))
+    write_files(supplier_dumps(spark, d).repartition(file_tasks(spark, d), "k"), root)
     return root
 
 
@@ -237,9 +234,7 @@ def incremental_captures(spark: SparkSession, d: str) -> DataFrame:
 
 def grow(spark: SparkSession, d: str, root: str, chosen: Column, name: str) -> None:
     """One more file below benign/ or phishing/ for each chosen supplier."""
-    rows = supplier_dumps(spark, d).filter(chosen).repartition(file_tasks(spark, d), "k")
-    for label in ("benign", "phishing"):
-        rows.filter(F.col("label") == label).select("text").write.option("maxRecordsPerFile", 1).text(f"{root}/{label}/{name}")
+    write_files(supplier_dumps(spark, d).filter(chosen).repartition(file_tasks(spark, d), "k"), root, name)
 
 
 @query

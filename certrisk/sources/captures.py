@@ -14,6 +14,8 @@ from certrisk.operators.sampling import sample_per_class
 
 #: Longest capture whose content is read.
 MAX_BYTES = 64 << 20
+#: Tasks that read files, for each core at most.
+TASKS_PER_CORE = 2
 ERROR = "error"
 
 
@@ -66,7 +68,7 @@ def with_content_columns(
     df: DataFrame, label: str | None = None, der_first: bool = True, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``path, content`` to the raw-capture columns; works on streams as well. ``keep`` names further columns."""
-    df = df.select(
+    df = in_few_tasks(df).select(
         *keep, "path", F.col("content"),
         file_name(F.col("path")).alias("file_name"),
         file_type(F.col("content"), der_first).alias("file_type"),
@@ -79,6 +81,15 @@ def with_content_columns(
             F.coalesce(decoded_text(F.col("content")), F.lit(""))).alias("text"))
 
 
+def in_few_tasks(files: DataFrame) -> DataFrame:
+    """A scan of files, some tasks for each core at most.
+
+    Spark counts a file as 4 MB and gives a task 32 small ones, which are read sooner than the expressions
+    behind the scan are made ready, once for each task.
+    """
+    return files.coalesce(TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism)
+
+
 def scan(spark: SparkSession, paths: str | list[str], recursive: bool = True) -> DataFrame:
     """File listing with lazily read content (``path, modificationTime, length, content``).
 
@@ -133,7 +144,7 @@ class CaptureFiles:
     def listing(self, spark: SparkSession) -> DataFrame:
         """``path, length, label``; no content is read."""
         path = F.col("path")
-        return self.files(spark).select(
+        return in_few_tasks(self.files(spark).select("path", "length")).select(
             "path", "length", (F.lit(self.label) if self.label is not None else path_label(path)).alias("label"))
 
     def read(self, spark: SparkSession, max_bytes: int = MAX_BYTES, der_first: bool = True) -> DataFrame:

@@ -8,14 +8,19 @@ columns, which is what the oracle SQL computes, without parsing any text.
 
 from __future__ import annotations
 
+import os
+import struct
+import zlib
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from certrisk import constants as k
+from certrisk.sources.captures import in_few_tasks
 
 # The properties of capture k, in SQL that Spark and DuckDB read alike.
 PROPERTIES = """
@@ -164,21 +169,65 @@ def cert_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label", F.lit("openssl_text").alias("file_type"), text.alias("text"), "k")
 
 
+def is_mounted(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is a folder of the machines' own file system."""
+    if "://" not in root and not root.startswith("file:"):
+        root = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return root.startswith("file:")
+
+
+def write_files(rows: DataFrame, root: str, name: str = "") -> None:
+    """The ``text`` of each row and a line end, as a file of its own below ``root/label/name``.
+
+    In a mounted folder tasks write the files themselves: without native code, Hadoop's local file system starts a process
+    for the mode of each file and one for that of its checksum, which costs far more than the files. A task that is tried again writes the
+    same files. In any other folder Spark's writer makes them.
+    """
+    places = {label: f"{root}/{label}/{name}".rstrip("/") for label in ("benign", "phishing")}
+    if not is_mounted(rows.sparkSession, root):
+        for label, place in places.items():
+            rows.filter(F.col("label") == label).select("text").write.option("maxRecordsPerFile", 1).text(place)
+        return
+    places = {label: place.removeprefix("file://").removeprefix("file:") for label, place in places.items()}
+    for place in places.values():
+        os.makedirs(place)
+
+    def write(batches):
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for label, text in zip(*(batch.column(c).to_pylist() for c in ("label", "text"))):
+                with open(f"{places[label]}/part-{part:05}-{n:07}.txt", "wb") as file:
+                    file.write(f"{text or ''}\n".encode("utf-8", "surrogatepass"))
+                n += 1
+            yield batch.select(["label"])
+
+    rows.select("label", "text").sortWithinPartitions("label", "text").mapInArrow(write, "label string").count()
+
+
+def checksums(data: bytes) -> bytes:
+    """What Hadoop's local file system keeps beside a file: a header and the CRC-32 of each 512 bytes."""
+    return b"crc\0" + struct.pack(">I", 512) + b"".join(
+        struct.pack(">I", zlib.crc32(data[at:at + 512])) for at in range(0, len(data), 512))
+
+
 def spoil(spark: SparkSession, root: str, chosen: Column) -> None:
-    """Add a byte to the files below ``root`` whose ``text`` is ``chosen``, behind the back of the checksums beside them.
+    """Add a byte to the files below ``root`` whose ``text`` is ``chosen``, and leave the checksums of what they were beside them.
 
     Tasks write to the files themselves, which needs the checksums of a local file system.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = in_few_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content"))
 
     def add(batches):
         for batch in batches:
-            for path in batch["path"]:
-                with open(path.removeprefix("file:"), "ab") as file:
-                    file.write(b"!")
+            for path, content in zip(batch["path"], batch["content"]):
+                folder, name = os.path.split(path.removeprefix("file://").removeprefix("file:"))
+                with open(f"{folder}/.{name}.crc", "wb") as file:
+                    file.write(checksums(bytes(content)))
+                with open(f"{folder}/{name}", "wb") as file:
+                    file.write(content + b"!")
             yield batch[["path"]]
 
-    rows = files.select("path", F.col("content").cast("string").alias("text")).filter(chosen).select("path")
+    rows = files.withColumn("text", F.col("content").cast("string")).filter(chosen).select("path", "content")
     rows.mapInPandas(add, "path string").count()
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from certrisk.session import shared_dir
 from certrisk.sources import captures
 from certrisk.sources.captures import file_type, load_dataset, load_directory, load_single_file
-from certrisk.sources.derived import make_der
+from certrisk.sources.derived import make_der, spoil, write_files
 from certrisk.sources.records import read_json, read_jsonl, write_json, write_jsonl
 from datetime import date
 
@@ -163,3 +163,32 @@ def test_content_is_not_read_for_a_path_listing(spark, tree):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_many_small_files_are_few_tasks(spark, tree):
+    most = captures.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    for i in range(most):
+        (tree / "benign" / f"more{i}").write_text(f"subject=CN = more{i}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        rows = load_directory(spark, str(tree))
+        assert rows.rdd.getNumPartitions() <= most
+        listing = captures.capture_directory(spark, str(tree)).listing(spark)
+        assert listing.rdd.getNumPartitions() <= most
+        assert rows.count() == listing.count() == 11 + most
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_a_file_for_each_row(spark, tmp_path, scheme):
+    rows = [("benign", "a"), ("phishing", "a"), ("benign", "a"), ("benign", None), ("phishing", "é\nb")]
+    df = spark.createDataFrame(rows, "label string, text string")
+    write_files(df.repartition(3), f"{scheme}{tmp_path}/in")
+    write_files(df.filter("label = 'none'"), f"{scheme}{tmp_path}/none", "run")
+    found = sorted((p.parent.name, p.read_bytes()) for p in (tmp_path / "in").rglob("part-*"))
+    assert found == sorted((label, f"{text or ''}\n".encode()) for label, text in rows)
+    assert captures.load_dataset(spark, f"{tmp_path}/none").count() == 0
+    spoil(spark, str(tmp_path / "in"), F.startswith("text", F.lit("a")))
+    assert sorted(r.text for r in load_dataset(spark, str(tmp_path / "in")).collect()) == ["\n", "é\nb\n"]
+    assert sorted(p.read_bytes() for p in (tmp_path / "in").rglob("part-*")) == sorted([b"a\n!"] * 3 + [b"\n", "é\nb\n".encode()])

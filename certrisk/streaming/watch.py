@@ -12,7 +12,7 @@ from certrisk.operators.features import add_features
 from certrisk.operators.parse import parse
 from certrisk.operators.prompting import cache_key
 from certrisk.operators.rules import add_rules
-from certrisk.sources.captures import with_content_columns
+from certrisk.sources.captures import TASKS_PER_CORE, with_content_columns
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -26,6 +26,16 @@ def stream_captures(
     return with_content_columns(files, keep=("modificationTime",))
 
 
+def listed_by_cores(spark: SparkSession) -> None:
+    """Let a listing of many paths, in this session from now on, be a few tasks for each core.
+
+    A batch of a stream lists the paths it is given again, by default with a task for each of up to 10,000.
+    """
+    key, most = "spark.sql.sources.parallelPartitionDiscovery.parallelism", TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(key)) > most:
+        spark.conf.set(key, str(most))
+
+
 def stream_detections(
     raw: DataFrame, frequencies: DataFrame | None = None, config: RiskConfig = DEFAULT,
     once_within: str | None = None,
@@ -58,6 +68,7 @@ def watch_directory(
 
     The sink writes a batch once, however often it is tried. ``once_within``: see ``stream_detections``.
     """
+    listed_by_cores(spark)
     found = stream_detections(stream_captures(spark, directory, files_per_trigger), frequencies, config, once_within)
     writer = (found.writeStream.format("json").outputMode("append")
               .option("ignoreNullFields", False)

@@ -262,3 +262,14 @@ def test_stream_answers_each_certificate_once(spark, corpus, tmp_path):
     for k in range(2):
         (source / f"nameless{k}").write_text("nothing to tell")
     assert go() == 6
+
+
+def test_stream_lists_its_files_in_few_tasks(spark, tmp_path):
+    source, key = tmp_path / "in", "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    source.mkdir()
+    for i in range(40):  # from 33 paths on, a batch lists them in a job
+        (source / f"c{i}").write_text(f"subject=CN = host{i}\n")
+    spark.conf.unset(key)
+    watch_directory(spark, str(source), str(tmp_path / "found"), str(tmp_path / "progress"), once=True).awaitTermination()
+    assert spark.read.json(str(tmp_path / "found")).count() == 40
+    assert int(spark.conf.get(key)) <= 2 * spark.sparkContext.defaultParallelism

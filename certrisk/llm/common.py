@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,18 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of each write go when it ends, and not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def unused(df: DataFrame, name: str = "own") -> str:
     """A column name that ``df`` does not have, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

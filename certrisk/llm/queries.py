@@ -38,10 +38,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def shared_words() -> Column:
+    """Words of a document in passages that another has too."""
+    return F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["last"] - p["first"] + 1)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_substrings(table(spark, sf_dir, "documents"))
+    out = dedup_substrings(table(spark, sf_dir, "documents"), passage_words=50)
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
-                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      shared_words().alias("n_shared_words"), F.size("passages").cast("long").alias("n_shared_passages"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,10 +58,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_units(table(spark, sf_dir, "documents"), passage_words=50)
-    shared = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["last"] - p["first"] + 1)
     return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(
         F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed_spans"),
-        shared.alias("n_shared_words"), F.size("passages").cast("long").alias("n_shared_passages"))
+        shared_words().alias("n_shared_words"), F.size("passages").cast("long").alias("n_shared_passages"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,9 @@ Such strings are found exactly, with one pass over all texts and little moved:
    not brought into one task: its windows are counted by 128-bit digests instead, with
    partial sums before the shuffle.
 
+A passage shorter than ``length`` bytes is not seen this way. With ``passage_words`` passages of that many words that another
+document has too are reported beside the spans (``passages.py``); they are not removed.
+
 Defined results: a null or empty text has no bytes and nothing is removed; rows equal in
 ``doc_id`` and text count as different rows, so each of them repeats in the other; an empty
 table gives no rows; columns other than ``doc_id`` and ``text`` are ignored.
@@ -31,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, mixed, powers, prefix_hashes, slices, span_hashes, utf8
+from certrisk.llm.common import bounded_batches, mixed, powers, prefix_hashes, shuffles_removed, slices, span_hashes, utf8
+from certrisk.llm.passages import PASSAGES, shared_passages
 from certrisk.llm.suffix_order import suffix_order
 from certrisk.session import staged
 
@@ -232,12 +236,24 @@ def repeated_windows(docs: DataFrame, length: int, gram: int, most_kinds: int) -
     return runs.unionByName(in_order).unionByName(counted)
 
 
-def dedup_substrings(docs: DataFrame, length: int = 400, gram: int = 64, most_kinds: int = 2_000) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept``: removed byte spans (array of start, end) and the bytes left."""
+def dedup_substrings(docs: DataFrame, length: int = 400, gram: int = 64, most_kinds: int = 2_000,
+                     passage_words: int | None = None) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept``: removed byte spans (array of start, end) and the bytes left.
+
+    With ``passage_words`` also ``passages``: first and last word (counted from 0, in the text as given) of each passage of that many words
+    that another document has too.
+    """
     bounded_batches(docs.sparkSession)
-    found = repeated_windows(docs, length, gram, most_kinds)
-    per_text = found.groupBy("u_id", "u_hash").agg(F.collect_set(F.struct("first", "last")).alias("runs")).select(
-        F.col("u_id").alias("w_id"), F.col("u_hash").alias("w_hash"), "runs")
+    # What was found is staged, so that the shuffles that found it are gone before the texts are shuffled.
+    with shuffles_removed(docs.sparkSession):
+        found = staged(repeated_windows(docs, length, gram, most_kinds).groupBy("u_id", "u_hash").agg(
+            F.collect_set(F.struct("first", "last")).alias("runs")), "repeated-runs")
+        if passage_words is not None:
+            found = found.unionByName(staged(shared_passages(docs, passage_words), "passages"), allowMissingColumns=True)
+    extra = [] if passage_words is None else ["passages"]
+    if extra:
+        found = found.groupBy("u_id", "u_hash").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("runs", *extra)])
+    per_text = found.select(F.col("u_id").alias("w_id"), F.col("u_hash").alias("w_hash"), "runs", *extra)
     same = F.col("u_id").eqNullSafe(F.col("w_id")) & (F.col("u_hash") == F.col("w_hash"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +276,9 @@ def dedup_substrings(docs: DataFrame, length: int = 400, gram: int = 64, most_ki
             yield pa.record_batch({
                 "doc_id": batch.column("u_id"), "n_bytes": pa.array(sizes, pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                "kept": pa.array(kept, pa.binary())})
+                "kept": pa.array(kept, pa.binary()), **{c: batch.column(c) for c in extra}})
 
-    return _keyed(docs).join(per_text, same, "left").select("u_id", "text", "runs").mapInArrow(
-        cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    kinds = "".join(f", {c} {PASSAGES}" for c in extra)
+    return _keyed(docs).join(per_text, same, "left").select(
+        "u_id", "text", "runs", *[F.coalesce(c, F.array().cast(PASSAGES)).alias(c) for c in extra]).mapInArrow(
+        cut, f"doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary{kinds}")

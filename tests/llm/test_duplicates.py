@@ -49,6 +49,24 @@ def test_substrings(spark, most_kinds):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, len(r.spans), bytes(r.kept)) for r in out) == sorted(want)
 
 
+def test_substrings_report_short_passages(spark):
+    """A passage of 50 short words has fewer bytes than a removed string, and is reported all the same."""
+    rng = random.Random(8)
+    prose = lambda n: " ".join(rng.choices([f"v{k}" for k in range(900)], k=n))
+    passage, body = prose(60), prose(70)
+    rows = [(1, f"{prose(20)} {passage} {prose(9)}", "en", "s", 1), (2, f"{prose(3)}\n{passage.upper()}", "en", "s", 1),
+            (3, prose(90), "en", "s", 1), (4, None, "en", "s", 1), (None, "", "en", "s", 1), (5, f"{body} {body}", "en", "s", 1)]
+    assert len(passage) < 400
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    out = dedup_substrings(table(spark, rows), passage_words=50)
+    assert spark.conf.get(key) == before
+    got = {r.doc_id: ([(p["first"], p["last"]) for p in r.passages], len(r.spans)) for r in out.collect()}
+    assert got == {1: ([(20, 79)], 0), 2: ([(3, 62)], 0), 3: ([], 0), 4: ([], 0), None: ([], 0), 5: ([], 0)}
+    assert "passages" not in dedup_substrings(table(spark, rows)).columns
+    assert dedup_substrings(empty(spark), passage_words=50).count() == 0
+
+
 def test_lines(spark):
     rows = corpus()
     out = dedup_units(table(spark, rows), min_words=4)

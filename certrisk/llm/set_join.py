@@ -13,8 +13,10 @@ cannot reach the threshold; and the answers of a set are derived from those of a
 one by the few shingles in which the two differ.
 
 Equal sets are one set throughout. Keys meet in blocks of a task first, so a part that very
-many sets share costs one row per block. A cluster beyond ``block_shingles`` is dealt over
-several tasks. A sample of its sets tells which shingles most of them hold, and the set nearest to
+many sets share costs one row per block. A line that many texts share chains sets into one large
+cluster though they differ otherwise. A cluster beyond ``block_shingles`` is therefore clustered
+anew by the shingles that fewest of its sets hold (``rare_edges``), as long as that makes the
+large ones smaller. What is then still beyond ``block_shingles`` is dealt over several tasks. A sample of its sets tells which shingles most of them hold, and the set nearest to
 these becomes the cluster's centre, to which all are compared. The sets without a link to the
 centre are then compared to each other and to all the rest, by pairs of blocks: a task takes
 two blocks, whatever the size of the cluster. No set is left out.
@@ -37,7 +39,9 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certrisk.llm.common import bounded_batches, give_back, lowered, mixed, slices, text_hashes, unused, utf8, word_spans
+from certrisk.llm.common import (
+    bounded_batches, give_back, lowered, mixed, shuffles_removed, slices, text_hashes, unused, utf8, word_spans,
+)
 from certrisk.llm.components import components
 from certrisk.session import staged
 
@@ -153,6 +157,9 @@ def grouped_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndar
 _BLOCK = pa.schema([("bucket", pa.int64()), ("is_count", pa.bool_()), ("x", pa.binary()), ("y", pa.binary())])
 _COUNT = pa.schema([("set_id", pa.int64()), ("size_class", pa.int64()), ("need", pa.int64()), ("n", pa.int64())])
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LED = pa.schema([("bucket", pa.int64()), ("is_edge", pa.bool_()), ("x", pa.int64()), ("y", pa.int64())])
+_SENT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_RETURNED = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary())])
 
 
 def set_table(docs: DataFrame, width: int) -> DataFrame:
@@ -266,6 +273,30 @@ def shared_parts(docs: DataFrame, width: int, percent: int, buckets: int) -> Dat
         "n >= need").select("set_id").distinct()
 
 
+def edge_batches(keys: np.ndarray, ids: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A block's keys with the set that leads each, and edges from that one to the others, for ``met_edges``."""
+    key, leader, a, b = grouped_keys(keys, ids)
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    for x, y, to, is_edge in ((key, leader, bucket, False), (a.view(np.uint64), b, mixed(a.view(np.uint64)) % np.uint64(buckets), True)):
+        for k in range(0, len(x), 20_000):
+            e = k + 20_000
+            yield pa.record_batch({
+                "bucket": pa.array(to[k:e].astype(np.int64)), "is_edge": pa.array(np.full(len(x[k:e]), is_edge)),
+                "x": pa.array(x[k:e].view(np.int64)), "y": pa.array(y[k:e])}, _LED)
+
+
+def met_edges(blocks: DataFrame) -> DataFrame:
+    """``a, b``: pairs of set ids that connect all sets with an equal key, of the ``blocks`` of ``edge_batches``."""
+
+    def met(rows: pa.Table) -> pa.Table:
+        x, y = (rows.column(c).to_numpy() for c in ("x", "y"))
+        edge = rows.column("is_edge").to_numpy()
+        _, _, a, b = grouped_keys(x[~edge].view(np.uint64), y[~edge])
+        return pa.table([np.concatenate([x[edge], a]), np.concatenate([y[edge], b])], _EDGE)
+
+    return blocks.groupBy("bucket").applyInArrow(met, "a long, b long").distinct()
+
+
 def part_edges(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     """``a, b``: pairs of set ids that connect all of ``sets(set_id, values)`` with an equal part."""
 
@@ -273,16 +304,9 @@ def part_edges(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
         scheme, keys, ids, held = PartScheme(percent), [], [], 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            key, leader, a, b = grouped_keys(np.concatenate(keys), np.concatenate(ids))
-            bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            yield from edge_batches(np.concatenate(keys), np.concatenate(ids), buckets)
             keys.clear()
             ids.clear()
-            for x, y, to, is_edge in ((key, leader, bucket, False), (a.view(np.uint64), b, mixed(a.view(np.uint64)) % np.uint64(buckets), True)):
-                for k in range(0, len(x), 20_000):
-                    e = k + 20_000
-                    yield pa.record_batch({
-                        "bucket": pa.array(to[k:e].astype(np.int64)), "is_edge": pa.array(np.full(len(x[k:e]), is_edge)),
-                        "x": pa.array(x[k:e].view(np.int64)), "y": pa.array(y[k:e])})
 
         for batch in batches:
             for values, name in zip(batch.column("values").to_pylist(), batch.column("set_id").to_pylist()):
@@ -297,14 +321,107 @@ def part_edges(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
         if held:
             yield from flushed()
 
-    def met(rows: pa.Table) -> pa.Table:
-        x, y = (rows.column(c).to_numpy() for c in ("x", "y"))
-        edge = rows.column("is_edge").to_numpy()
-        _, _, a, b = grouped_keys(x[~edge].view(np.uint64), y[~edge])
-        return pa.table([np.concatenate([x[edge], a]), np.concatenate([y[edge], b])], _EDGE)
+    return met_edges(sets.select("set_id", "values").mapInArrow(keyed, "bucket long, is_edge boolean, x long, y long"))
 
-    blocks = sets.select("set_id", "values").mapInArrow(keyed, "bucket long, is_edge boolean, x long, y long")
-    return blocks.groupBy("bucket").applyInArrow(met, "a long, b long").distinct()
+
+def rare_places(shingles: np.ndarray, holders: np.ndarray, starts: np.ndarray, percent: int) -> np.ndarray:
+    """Where the shingles stand by which each set is clustered: of the rarest of its cluster, as many as any set
+    linked to it must hold one of, without those that no other set holds; none of a set that cannot have a link.
+
+    ``holders`` tells how many sets hold a shingle; set k has the places from ``starts[k]`` to ``starts[k + 1]``. Linked sets have
+    ``percent`` of the shingles of each in common at least, and the rarest of these is among both their rarest.
+    """
+    sizes = np.diff(starts)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    need = -(-percent * sizes // 100)
+    shared = np.bincount(owner[holders > 1], minlength=len(sizes))
+    order = np.lexsort((shingles, holders, owner))
+    place = np.arange(len(order)) - starts[owner]
+    return order[(place <= (sizes - need)[owner]) & (shared >= need)[owner] & (holders[order] > 1)]
+
+
+def rare_edges(sets: DataFrame, percent: int, shingles: int) -> DataFrame:
+    """``a, b``: pairs of set ids that connect all of ``sets(cluster, set_id, values)`` that are linked within a cluster, by the
+    shingles that fewest sets of the cluster hold. ``shingles`` is how many there are in all.
+
+    Sets are dealt into blocks. A block sends each of its shingles once, to where they are counted, and gets the counts back.
+    """
+    blocks, buckets = max(16, shingles // FLUSH_KEYS), max(16, shingles // BUCKET_KEYS)
+
+    def flat(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The shingles of all sets of a block, told apart by cluster, the places where sets start, and their ids."""
+        values = [np.frombuffer(v, np.uint64) for v in rows.column("values").to_pylist()]
+        sizes = np.array([len(v) for v in values], np.int64)
+        cluster = mixed(rows.column("cluster").to_numpy().view(np.uint64))
+        return (mixed(np.concatenate(values) ^ np.repeat(cluster, sizes)), np.concatenate([[0], np.cumsum(sizes)]),
+                rows.column("set_id").to_numpy())
+
+    def bucket_starts(keys: np.ndarray) -> np.ndarray:
+        bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        return np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+
+    def sent(rows: pa.Table) -> pa.Table:
+        keys, counts = np.unique(flat(rows)[0], return_counts=True)
+        at, counts = bucket_starts(keys), counts.astype(np.int32)
+        some = np.flatnonzero(at[1:] > at[:-1])
+        give_back()
+        return pa.table([pa.array(some), pa.array([rows.column("block")[0].as_py()] * len(some), pa.int64()),
+                         pa.array([keys[at[k]:at[k + 1]].tobytes() for k in some], pa.binary()),
+                         pa.array([counts[at[k]:at[k + 1]].tobytes() for k in some], pa.binary())], _SENT)
+
+    def counted(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(v, np.uint64) for v in rows.column("keys").to_pylist()]
+        every, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(every), np.int64)
+        np.add.at(total, back, np.concatenate([np.frombuffer(v, np.int32) for v in rows.column("counts").to_pylist()]))
+        # More than an int32 can tell are as many as it can: an order all the same.
+        total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)[back]
+        ends = np.cumsum([len(k) for k in keys])
+        give_back()
+        return pa.table([rows.column("block").combine_chunks(), rows.column("bucket").combine_chunks(),
+                         pa.array([total[e - len(k):e].tobytes() for k, e in zip(keys, ends)], pa.binary())], _RETURNED)
+
+    def led(rows: pa.Table, returned: pa.Table) -> pa.Table:
+        values, starts, ids = flat(rows)
+        keys, back = np.unique(values, return_inverse=True)
+        returned = returned.sort_by("bucket")
+        holders = np.concatenate([np.frombuffer(v, np.int32) for v in returned.column("counts").to_pylist()])
+        assert len(holders) == len(keys)
+        place = rare_places(values, holders[back], starts, percent)
+        owner = np.searchsorted(starts, place, "right") - 1
+        out = pa.Table.from_batches(list(edge_batches(values[place], ids[owner], buckets)), _LED)
+        give_back()
+        return out
+
+    dealt = sets.select("cluster", "set_id", "values", F.pmod(F.xxhash64("set_id", F.lit(3)), F.lit(blocks)).alias("block"))
+    shingled = dealt.groupBy("block").applyInArrow(sent, "bucket long, block long, keys binary, counts binary")
+    returned = shingled.groupBy("bucket").applyInArrow(counted, "block long, bucket long, counts binary")
+    return met_edges(dealt.groupBy("block").cogroup(returned.groupBy("block")).applyInArrow(
+        led, "bucket long, is_edge boolean, x long, y long"))
+
+
+def loosened(sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """``sets(cluster, set_id, n_shingles, values)`` with the clusters beyond ``block_shingles`` clustered anew by their rare
+    shingles, as long as a tenth of what is in such clusters leaves them. Sets that cannot have a link are left out.
+    """
+    out, before = [], None
+    while True:
+        large = staged(sets.groupBy("cluster").agg(F.sum("n_shingles").alias("weight")).filter(F.col("weight") > block_shingles).select(
+            F.col("cluster").alias("_c"), "weight"), "chained-clusters")
+        many, total = large.agg(F.count("*"), F.sum("weight")).first()
+        if not many or before is not None and 10 * total > 9 * before:
+            break
+        large = (F.broadcast(large) if many <= 100_000 else large).select("_c")
+        inside = F.col("cluster") == F.col("_c")
+        out.append(sets.join(large, inside, "left_anti"))
+        chained = sets.join(large, inside, "left_semi")
+        anew = components(rare_edges(chained, percent, total)).withColumnRenamed("component", "_anew")
+        sets = staged(chained.join(anew, F.col("set_id") == F.col("node")).select(
+            F.col("_anew").alias("cluster"), "set_id", "n_shingles", "values"), "loosened-sets")
+        before = total
+    for other in out:
+        sets = sets.unionByName(other)
+    return sets
 
 
 class SetGroup:
@@ -528,40 +645,42 @@ def jaccard_components(
     docs: DataFrame, width: int = 4, percent: int = 85, block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id`` of every row."""
-    bounded_batches(docs.sparkSession)
-    table = staged(set_table(docs, width), "sets")
-    sets = table.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("sample"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n_shingles"),
-        F.min("set_check").alias("low"), F.max("set_check").alias("high"))
-    sets = staged(sets, "distinct-sets")
-    total, clash = sets.agg(F.sum("n_shingles"), F.count(F.when(F.col("low") != F.col("high"), 1))).first()
-    if clash:
-        raise ValueError("two sets share a 64-bit id")
-    own = table.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"))
-    buckets = max(64, int((total or 0) * 0.35 / BUCKET_KEYS))
-    hopeful = staged(shared_parts(docs, width, percent, buckets).withColumnRenamed("set_id", "hopeful"), "hopeful-sets")
-    wanted = sets.join(hopeful, F.col("set_id") == F.col("hopeful")).select(
-        F.col("sample.doc_id").alias("w_id"), F.col("sample.text_hash").alias("w_hash"))
-
-    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                values = shingle_sets(*utf8(part.column("text")), width)
-                yield pa.record_batch({
-                    "set_id": pa.array([set_id(v) for v in values], pa.int64()),
-                    "n_shingles": pa.array([len(v) for v in values], pa.int64()),
-                    "values": pa.array([v.tobytes() for v in values], pa.binary())})
-
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
-    found = staged(_texts(docs).join(wanted, same).select("text").mapInArrow(
-        valued, "set_id long, n_shingles long, values binary"), "hopeful-values")
-    total = found.agg(F.sum("n_shingles")).first()[0] or 0
-    clusters = staged(components(part_edges(found, percent, max(64, int(total * 0.35 / BUCKET_KEYS)))).withColumnRenamed(
-        "component", "cluster"), "clusters")
-    # Equal rows repeat their set.
-    candidates = staged(found.dropDuplicates(["set_id"]).join(clusters, F.col("set_id") == F.col("node")).select(
-        "cluster", "set_id", "n_shingles", "values"), "cluster-sets")
-    linked = components(cluster_links(candidates, percent, block_shingles))
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    with shuffles_removed(spark):
+        table = staged(set_table(docs, width), "sets")
+        sets = table.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("sample"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n_shingles"),
+            F.min("set_check").alias("low"), F.max("set_check").alias("high"))
+        sets = staged(sets, "distinct-sets")
+        total, clash = sets.agg(F.sum("n_shingles"), F.count(F.when(F.col("low") != F.col("high"), 1))).first()
+        if clash:
+            raise ValueError("two sets share a 64-bit id")
+        own = table.select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"))
+        buckets = max(64, int((total or 0) * 0.35 / BUCKET_KEYS))
+        hopeful = staged(shared_parts(docs, width, percent, buckets).withColumnRenamed("set_id", "hopeful"), "hopeful-sets")
+        wanted = sets.join(hopeful, F.col("set_id") == F.col("hopeful")).select(
+            F.col("sample.doc_id").alias("w_id"), F.col("sample.text_hash").alias("w_hash"))
+
+        def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch):
+                    values = shingle_sets(*utf8(part.column("text")), width)
+                    yield pa.record_batch({
+                        "set_id": pa.array([set_id(v) for v in values], pa.int64()),
+                        "n_shingles": pa.array([len(v) for v in values], pa.int64()),
+                        "values": pa.array([v.tobytes() for v in values], pa.binary())})
+
+        same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
+        found = staged(_texts(docs).join(wanted, same).select("text").mapInArrow(
+            valued, "set_id long, n_shingles long, values binary"), "hopeful-values")
+        total = found.agg(F.sum("n_shingles")).first()[0] or 0
+        clusters = staged(components(part_edges(found, percent, max(64, int(total * 0.35 / BUCKET_KEYS)))).withColumnRenamed(
+            "component", "cluster"), "clusters")
+        # Equal rows repeat their set.
+        candidates = staged(found.dropDuplicates(["set_id"]).join(clusters, F.col("set_id") == F.col("node")).select(
+            "cluster", "set_id", "n_shingles", "values"), "cluster-sets")
+        linked = components(cluster_links(loosened(candidates, percent, block_shingles), percent, block_shingles))
     # The smallest doc_id of every component, over its distinct sets and then its rows.
     home = sets.join(linked, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("home"))

@@ -14,11 +14,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from certrisk.llm import line_dedup
+from certrisk.llm import line_dedup, set_join
 from certrisk.llm.line_dedup import dedup_units
 from certrisk.llm.passages import shared_windows, stretches
 from certrisk.llm.quality_rules import kept_documents
-from certrisk.llm.set_join import PartScheme, SetGroup, jaccard_components, one_of_each
+from certrisk.llm.set_join import PartScheme, SetGroup, jaccard_components, one_of_each, rare_places
 from certrisk.llm.suffix_dedup import dedup_substrings
 from certrisk.llm.suffix_order import suffix_order
 
@@ -172,6 +172,68 @@ def test_set_join(spark, percent, block):
     assert got == brute_components(rows, percent)
 
 
+def test_a_line_of_many_texts_makes_no_large_cluster(spark, monkeypatch):
+    """Groups of near copies that begin with the same line are not compared group with group, and none of their links is lost."""
+    rng = random.Random(11)
+
+    def prose(n):
+        return ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+
+    line, rows = prose(25), []
+    for _ in range(30):
+        base = prose(70)
+        for _ in range(rng.randint(1, 4)):
+            near = list(base)
+            near[rng.randrange(70)] = "changed"
+            rows.append((len(rows), " ".join(line + near), "en", "s", 1))
+    weights, links = [], set_join.cluster_links
+
+    def seen(sets, percent, block_shingles):
+        weights.extend(r.w for r in sets.groupBy("cluster").agg(F.sum("n_shingles").alias("w")).collect())
+        return links(sets, percent, block_shingles)
+
+    monkeypatch.setattr(set_join, "cluster_links", seen)
+    out = jaccard_components(table(spark, rows), block_shingles=600).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows, 85)
+    assert len(weights) > 10 and max(weights) <= 600
+
+
+def test_linked_sets_share_a_rare_shingle():
+    rng = np.random.default_rng(5)
+    for percent in (60, 80, 85, 95):
+        for _ in range(40):
+            common = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+            sets = []
+            for _ in range(8):
+                base = np.concatenate([common, rng.integers(0, 1 << 63, int(rng.integers(1, 60)), dtype=np.uint64)])
+                for _ in range(3):
+                    near = base.copy()
+                    near[rng.integers(0, len(near), int(rng.integers(0, 8)))] = rng.integers(0, 1 << 63, dtype=np.uint64)
+                    sets.append(np.unique(near[int(rng.integers(0, 6)):]))
+            flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+            _, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            place = rare_places(flat, counts[back], starts, percent)
+            keys = [set(flat[place[(place >= a) & (place < b)]].tolist()) for a, b in zip(starts, starts[1:])]
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets[:i]):
+                    both = len(np.intersect1d(a, b))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        assert keys[i] & keys[j]
+
+
+def test_set_join_leaves_no_shuffles_behind(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen, write = spark.conf.get(key), [], set_join.staged
+
+    def spied(df, name):
+        seen.append(df.sparkSession.conf.get(key))
+        return write(df, name)
+
+    monkeypatch.setattr(set_join, "staged", spied)
+    jaccard_components(table(spark, corpus(seed=5)))
+    assert set(seen) == {"true"} and spark.conf.get(key) == before
+
+
 def test_one_of_each(spark):
     rows = corpus(seed=5)
     kept = Counter(r.doc_id for r in one_of_each(table(spark, rows)).collect())
